@@ -29,13 +29,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
-    folded = np.arange(256, dtype=np.uint64)
-    folded[65:91] += np.uint64(32)
-    return mix((folded + np.uint64(1)) * _BASE)
+def _byte_values(fold: bool) -> np.ndarray:
+    byte = np.arange(256, dtype=np.uint64)
+    if fold:
+        byte[65:91] += np.uint64(32)
+    return mix((byte + np.uint64(1)) * _BASE)
 
 
-_VALUES = _byte_values()
+_VALUES = {fold: _byte_values(fold) for fold in (False, True)}
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -85,13 +86,13 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, case-folded for A-Z: a polynomial in the bytes' random values."""
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = True) -> np.ndarray:
+    """A 64-bit hash of each byte range, by default case-folded for A-Z: a polynomial in the bytes' random values."""
     if not len(start):
         return np.zeros(0, np.uint64)
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * down[: len(data)], out=total[1:])
+    np.cumsum(_VALUES[fold][data] * down[: len(data)], out=total[1:])
     return mix((total[end] - total[start]) * up[start] + (end - start).astype(np.uint64))
 
 
@@ -119,8 +120,15 @@ def shingles(hashes: np.ndarray, doc: np.ndarray, n: int, k: int) -> tuple[np.nd
             extra[has] = (extra[has] + hashes[first[has] + i]) * _BASE
         out = np.concatenate([out, mix(extra + size[short].astype(np.uint64))])
         owner = np.concatenate([owner, short])
-    order = np.lexsort((out, owner))
+    order = grouped_order(owner, out)
     out, owner = out[order], owner[order]
     fresh = np.ones(len(out), dtype=bool)
     fresh[1:] = (out[1:] != out[:-1]) | (owner[1:] != owner[:-1])
     return out[fresh], owner[fresh]
+
+
+def grouped_order(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Positions sorted by owner, then value."""
+    order = np.argsort(value)
+    small = np.uint16 if len(owner) and int(owner.max()) < 65536 else np.int64
+    return order[np.argsort(owner[order].astype(small), kind="stable")]
