@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import let
 
 #: Rows numbered by one task at a time, about.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 2_000
 ADDED = ("weight", "block", "release", "deadline", "slot", "mix_position")
 
 
@@ -97,21 +97,22 @@ def mix_sources(
     kept = [c for c in docs.columns if c not in ADDED]
     digits = max(0, math.ceil(math.log(max(docs.count(), 1) / ROWS_PER_BUCKET, 16)))
     rows = docs.select(
-        F.struct(*kept).alias("row"),
-        F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("\0")).alias("src"),
-        F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")).alias("digest"),
-    ).withColumn("bucket", F.substring("digest", 1, digits))
-    sizes = rows.groupBy("src", "bucket").agg(F.count("*").alias("n"))
+        *kept,
+        F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("\0")).alias("_mix_src"),
+        F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")).alias("_mix_digest"),
+    ).withColumn("_mix_bucket", F.substring("_mix_digest", 1, digits))
+    sizes = rows.groupBy(F.col("_mix_src").alias("src"), F.col("_mix_bucket").alias("bucket")).agg(F.count("*").alias("n"))
     plan = schedule(sizes.groupBy("src").agg(F.sum("n").alias("n")), weights, resolution, temperature)
     totals = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = sizes.select("src", "bucket", "n", F.coalesce(F.sum("n").over(totals), F.lit(0)).alias("before"))
-    buckets = buckets.join(plan.where("turn = 0").select("src", "weight", "period"), "src")
+    buckets = sizes.select("src", "bucket", F.coalesce(F.sum("n").over(totals), F.lit(0)).alias("before"))
+    buckets = buckets.join(plan.where("turn = 0").select("src", "weight"), "src").select(
+        F.col("src").alias("_mix_src"), F.col("bucket").alias("_mix_bucket"), F.col("before").alias("_mix_before"), F.col("weight").alias("_mix_weight")
+    )
 
-    number = F.row_number().over(Window.partitionBy("src", "bucket").orderBy("digest", f"row.{key}")) - 1
-    rows = rows.withColumn("number", number).join(buckets.drop("n"), ["src", "bucket"])
-    rows = rows.withColumn("number", F.col("number") + F.col("before"))
-    rows = rows.withColumn("block", F.floor(F.col("number") / block_rows))
-    rows = rows.withColumn("turn", F.pmod("block", "weight").cast("int")).drop("before")
+    number = F.row_number().over(Window.partitionBy("_mix_src", "_mix_bucket").orderBy("_mix_digest", key)) - 1
+    rows = rows.withColumn("_mix_number", number).join(buckets, ["_mix_src", "_mix_bucket"])
+    rows = rows.withColumn("_mix_number", F.col("_mix_number") + F.col("_mix_before"))
+    rows = rows.withColumn("_mix_block", F.floor(F.col("_mix_number") / block_rows))
 
     # rows before each slot: running sums within stretches of slots, plus the stretches before
     blocks = sizes.groupBy("src").agg(F.sum("n").alias("n")).join(plan.where("turn = 0").select("src", "weight", "period"), "src")
@@ -131,17 +132,19 @@ def mix_sources(
     stretches = stretches.select("stretch", F.coalesce(F.sum("rows").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     inside = F.coalesce(F.sum("rows").over(Window.partitionBy("stretch").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = blocks.withColumn("inside", inside).join(stretches, "stretch")
-    blocks = blocks.select("src", "block", "slot", "release", "deadline", (F.col("ahead") + F.col("inside")).alias("first"))
+    blocks = blocks.select(
+        F.col("src").alias("_mix_src"), F.col("block").alias("_mix_block"), "slot", "release", "deadline", (F.col("ahead") + F.col("inside")).alias("_mix_first")
+    )
 
-    rows = rows.join(blocks, ["src", "block"])
+    rows = rows.join(blocks, ["_mix_src", "_mix_block"])
     return rows.select(
-        "row.*",
-        F.col("weight").cast("int").alias("weight"),
-        F.col("block").cast("long").alias("block"),
+        *kept,
+        F.col("_mix_weight").cast("int").alias("weight"),
+        F.col("_mix_block").cast("long").alias("block"),
         F.col("release").cast("long").alias("release"),
         F.col("deadline").cast("long").alias("deadline"),
         F.col("slot").cast("long").alias("slot"),
-        (F.col("first") + F.col("number") % block_rows).cast("long").alias("mix_position"),
+        (F.col("_mix_first") + F.col("_mix_number") % block_rows).cast("long").alias("mix_position"),
     )
 
 
