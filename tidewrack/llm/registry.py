@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .chat_format import op9_chat_formatting
 from .mixing import ORACLE_OP3, op3_mix_sources
+from .packing import op5_best_fit_packing
 from .quality import ORACLE_OP8, op8_quality_rules
 
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op3_mix_sources": op3_mix_sources,
     "op9_chat_formatting": op9_chat_formatting,
