@@ -6,11 +6,13 @@ from .chat_format import op9_chat_formatting
 from .mixing import ORACLE_OP3, op3_mix_sources
 from .packing import op5_best_fit_packing
 from .quality import ORACLE_OP8, op8_quality_rules
+from .warc import ORACLE_OP6, op6_warc
 
 QUERIES = {
+    "op6_warc": op6_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
     "op3_mix_sources": op3_mix_sources,
     "op9_chat_formatting": op9_chat_formatting,
 }
-ORACLES = {"op3_mix_sources": ORACLE_OP3, "op8_quality_rules": ORACLE_OP8}
+ORACLES = {"op6_warc": ORACLE_OP6, "op3_mix_sources": ORACLE_OP3, "op8_quality_rules": ORACLE_OP8}
