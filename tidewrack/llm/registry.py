@@ -7,9 +7,11 @@ from .language import op1_language_id
 from .mixing import ORACLE_OP3, op3_mix_sources
 from .packing import op5_best_fit_packing
 from .quality import ORACLE_OP8, op8_quality_rules
+from .toxicity import op10_toxicity
 from .warc import ORACLE_OP6, op6_warc
 
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op1_language_id": op1_language_id,
     "op6_warc": op6_warc,
     "op5_best_fit_packing": op5_best_fit_packing,
