@@ -39,7 +39,7 @@ from .common import crc_bucket
 #: Labelled texts that lexicon and weights are fitted on, about.
 SAMPLE = 16_000
 #: A learned word or beginning needs so many toxic texts, contexts, and this share of its texts toxic.
-LEAST_TEXTS, LEAST_CONTEXTS, LEAST_SHARE = 3, 3, 0.9
+LEAST_TEXTS, LEAST_CONTEXTS, LEAST_SHARE = 3, 3, 0.75
 STEM_SIZES, LEAST_STEM_WORDS, LEAST_STEM_SHARE = (4, 5, 6), 6, 0.98
 
 # The grammar's words.
@@ -132,7 +132,7 @@ class Grammar:
         self.strength = {w: 1.0 for w in self.symbol}
         for w, s in (words or {}).items():
             self.symbol[w] = "insult"
-            self.strength[w] = max(s, 1.0)
+            self.strength[w] = max(s, self.strength.get(w, 0.0))
         self.stems = stems or {}
         self.sizes = sorted({len(s) for s in self.stems})
 
