@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat_format import op9_chat_formatting
+from .fingerprints import op7_fingerprints
 from .language import op1_language_id
 from .mixing import ORACLE_OP3, op3_mix_sources
 from .packing import op5_best_fit_packing
@@ -11,6 +12,7 @@ from .toxicity import op10_toxicity
 from .warc import ORACLE_OP6, op6_warc
 
 QUERIES = {
+    "op7_fingerprints": op7_fingerprints,
     "op10_toxicity": op10_toxicity,
     "op1_language_id": op1_language_id,
     "op6_warc": op6_warc,
