@@ -49,3 +49,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def crc_bucket_sql(column: str, modulus: int) -> str:
+    """crc_bucket in DuckDB's SQL, which has no crc32: bit by bit over the decimal digits."""
+    digits = f"list_transform(range(1, len(CAST({column} AS VARCHAR)) + 1), lambda i: CAST(ord(substr(CAST({column} AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT))"
+    bits = "list_reduce(list_prepend(xor(a, b), [0::BIGINT for k in range(8)]), lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))"
+    return f"coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda a, b: {bits}), 4294967295) % {modulus}, -1)"
