@@ -37,14 +37,14 @@ def test_minima_are_rightmost_and_match_plain_winnowing(spark):
         part = [(h & (2**64 - 1)) >> 31 for h in hashes[i : i + w]]
         want.add(i + max(j for j in range(w) if part[j] == min(part)))
     got = row.select(P.fingerprint_of(F.col("text"), 3, w).alias("f")).first().f
-    assert [(p.hash, p.position) for p in got] == [(hashes[i], i) for i in sorted(want)]
+    assert list(zip(got.hashes, got.positions)) == [(hashes[i], i) for i in sorted(want)]
 
 
 def test_match_guarantee_and_odd_texts(spark):
     shared = " ".join(f"s{i}" for i in range(P.K + P.WINDOW - 1))
     data = [(1, " ".join(f"a{i}" for i in range(99)) + f" {shared} x y z"), (2, f"q {shared} " + "b c d " * 50), (3, None), (4, ""), (5, " \n"), (6, "two words"), (None, "two  WORDS"), (8, "w " * 100_000)]
     docs = spark.createDataFrame([(a, b, 0) for a, b in data], "doc_id long, text string, fingerprint int").drop("fingerprint")
-    got = {r.doc_id: {p.hash for p in r.fingerprint} for r in P.fingerprint(docs).collect()}
+    got = {r.doc_id: set(r.fingerprint.hashes) for r in P.fingerprint(docs).collect()}
     assert got[1] & got[2] and not got[3] and not got[4] and not got[5]
     assert got[6] == got[None] and len(got[6]) == 1 and len(got[8]) == 1
 

@@ -30,7 +30,7 @@ ROWS_PER_BUCKET, MOST_BUCKETS, CELLS = 1_000, 100_000, 128
 
 
 def fingerprint_of(text: Column, k: int = K, window: int = WINDOW) -> Column:
-    """array<struct<hash: bigint, position: int>>, by position."""
+    """struct<hashes: array<bigint>, positions: array<int>>, by position."""
     words = F.array_remove(F.split(fold_ascii(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), "")
     hashes = let(
         words,
@@ -47,9 +47,9 @@ def fingerprint_of(text: Column, k: int = K, window: int = WINDOW) -> Column:
     place = lambda p: ((1 << _PLACES) - 1 - p.bitwiseAND((1 << _PLACES) - 1)).cast("int")
     return let(
         hashes,
-        lambda h: F.transform(
+        lambda h: let(
             let(F.transform(h, pack), least),
-            lambda p: F.struct(F.get(h, place(p)).alias("hash"), place(p).alias("position")),
+            lambda p: F.struct(F.transform(p, lambda x: F.get(h, place(x))).alias("hashes"), F.transform(p, place).alias("positions")),
         ),
     )
 
@@ -60,9 +60,8 @@ def fingerprint(docs: DataFrame, text: str = "text", k: int = K, window: int = W
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard similarity of two fingerprints' hashes."""
-    a, b = F.transform(a, lambda p: p.hash), F.transform(b, lambda p: p.hash)
     return let(
-        F.struct(F.array_distinct(a).alias("a"), F.array_distinct(b).alias("b")),
+        F.struct(F.array_distinct(a.hashes).alias("a"), F.array_distinct(b.hashes).alias("b")),
         lambda s: let(
             F.size(F.array_intersect(s.a, s.b)),
             lambda both: F.when((F.size(s.a) == 0) & (F.size(s.b) == 0), 1.0).otherwise(both / (F.size(s.a) + F.size(s.b) - both)),
@@ -70,8 +69,8 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with `next`, a struct of `columns` of the next document by descending key; the first follows the last.
+def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", text: str = "text", derive=lambda d: d) -> DataFrame:
+    """derive(docs) with `next`, a struct of `columns` of the next document by descending key; the first follows the last.
 
     Ranges of keys are ordered by a task each.  Their bounds come from
     approximate percentiles, interpolated; each range's last row gets the first
@@ -97,22 +96,22 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", text: st
     firsts = firsts.select("_bucket", follow.alias("_follow"))
     # the first row of each bucket: ids and texts of at most MOST_BUCKETS documents
     heads = docs.join(F.broadcast(firsts.select("_follow").distinct()), docs[key].eqNullSafe(F.col("_follow")), "left_semi")
-    heads = heads.groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias("_head")).select(F.col(key).alias("_head_key"), "_head")
+    heads = derive(heads).groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias("_head")).select(F.col(key).alias("_head_key"), "_head")
     heads = firsts.join(heads, F.col("_follow").eqNullSafe(F.col("_head_key"))).select("_bucket", "_head")
 
-    rows = placed(docs).withColumn("next", F.lead(F.struct(*columns)).over(Window.partitionBy("_bucket").orderBy(*order)))
+    rows = placed(derive(docs)).withColumn("next", F.lead(F.struct(*columns)).over(Window.partitionBy("_bucket").orderBy(*order)))
     rows = rows.join(heads, "_bucket")
     return rows.withColumn("next", F.coalesce("next", "_head")).drop("_bucket", "_head")
 
 
 def op7_fingerprints(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = with_next(fingerprint(docs), ["text", "fingerprint"])
+    rows = with_next(docs, ["text", "fingerprint"], derive=fingerprint)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half), F.substring("next.text", F.lit(1), half)))
     rows = rows.withColumn("edited_fp", fingerprint_of(F.col("edited")))
-    show = lambda c: F.array_join(F.transform(c, lambda p: F.concat(F.hex(p.hash), F.lit("@"), p.position)), " ")
+    show = lambda c: F.array_join(F.zip_with(f"{c}.hashes", f"{c}.positions", lambda h, p: F.concat(F.hex(h), F.lit("@"), p)), " ")
     return rows.select(
         "doc_id",
         n.cast("long").alias("n_chars"),
