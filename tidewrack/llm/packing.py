@@ -38,7 +38,7 @@ SEPARATOR = 2
 #: The vocabulary's one special token; its id follows the ranks.
 SPECIAL = "<|endoftext|>"
 #: Pieces placed by one task call; a bound on its memory, not on the input.
-GROUP_PIECES = 50_000
+GROUP_PIECES = 20_000
 #: Distinct stretches of text whose ids a worker keeps at hand, about.
 POOL_STRETCHES = 1_500_000
 
