@@ -45,7 +45,7 @@ MINIMA = 3
 #: Nodes compared in one group; a larger group is cut (step 3) or met in pairs of chunks (step 4).
 GROUP_NODES = 2048
 #: Keys sent to every task when fetching some documents' texts, at most; beyond, both sides are shuffled.
-SENT_KEYS = 200_000
+SENT_KEYS = 500_000
 _SEEDS = [np.uint64(x) for x in (0, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -74,7 +74,7 @@ def common_shingles(docs: DataFrame, text: str, k: int) -> np.ndarray:
             if len(both):
                 first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
                 keys, counts = both[first], np.add.reduceat(weight, first)
-            if len(keys) > 8_000_000:  # shingles met once so far are not common ones
+            if len(keys) > 4_000_000:  # shingles met once so far are not common ones
                 keys, counts = keys[counts > 1], counts[counts > 1]
         often = counts >= max(4, COMMON_SHARE * docs_seen)
         yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["h", "n"])
@@ -104,10 +104,12 @@ def describe(docs: DataFrame, key: str, text: str, k: int, percent: int, common:
                 if len(has):
                     minima[has, j] = tokens.mix(np.minimum.reduceat(h if j == 0 else tokens.mix(h ^ _SEEDS[j + 1]), first) + np.uint64(j))
             # bitmaps, side by side
-            width = np.maximum(64, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
-            place = np.concatenate([[0], np.cumsum(width)])
+            width = np.array([S.width_of(x) for x in n.tolist()], dtype=np.int64)
+            place = np.concatenate([[0], np.cumsum(np.minimum(width, S.WINDOW))]).astype(np.int64)
             flags = np.zeros(place[-1], dtype=bool)
-            flags[place[owner] + (h & (width[owner] - 1).astype(np.uint64)).astype(np.int64)] = True
+            bit = (h & (width[owner] - 1).astype(np.uint64)).astype(np.int64)
+            near = bit < S.WINDOW
+            flags[place[owner[near]] + bit[near]] = True
             bits = np.packbits(flags, bitorder="little")
             # the order of shingles: common ones last
             late = np.zeros(len(h), dtype=bool)
@@ -197,8 +199,9 @@ def link_by_sets(rows: DataFrame, percent: int) -> DataFrame:
             leaves = []
             for i, s in enumerate(sets):
                 width = S.width_of(len(s))
-                flags = np.zeros(width, dtype=bool)
-                flags[(s & np.uint64(width - 1)).astype(np.int64)] = True
+                flags = np.zeros(min(width, S.WINDOW), dtype=bool)
+                bit = (s & np.uint64(width - 1)).astype(np.int64)
+                flags[bit[bit < len(flags)]] = True
                 leaves.append(S.leaf(i, len(s), int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little"), width, i))
             classes = _Classes(len(nodes))
 
@@ -242,7 +245,7 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
             if len(set(comps)) < 2:
                 continue
             sizes, bits = group.column("n").to_pylist(), group.column("bits").to_pylist()
-            leaves = [S.leaf(i, n, int.from_bytes(x, "little"), 8 * len(x), c) for i, (n, x, c) in enumerate(zip(sizes, bits, comps))]
+            leaves = [S.leaf(i, n, int.from_bytes(x, "little"), S.width_of(n), c) for i, (n, x, c) in enumerate(zip(sizes, bits, comps))]
             pairs: list[tuple[int, int]] = []
             visit = lambda i, j: pairs.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
             apart = lambda p, q: p.classes is None or p.classes != q.classes
@@ -276,16 +279,17 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     first = components(edges)
 
     # step 4: prefix shingles that join components
-    labelled = nodes.join(first, "node", "left").select("node", "n", "bits", "prefix", F.coalesce("component", "node").alias("component"))
+    labelled = nodes.join(first, "node", "left").select("node", "prefix", F.coalesce("component", "node").alias("component"))
     entries = labelled.select("node", "component", F.explode("prefix").alias("h"))
     joining = entries.groupBy("h").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("h", "size")
     joining = stored(joining, "joining")
     side = F.broadcast(joining) if joining.count() <= SENT_KEYS else joining
     chunks = F.ceil(F.col("size") / GROUP_NODES)
-    rows = labelled.select("node", "n", "bits", "component", F.explode("prefix").alias("h")).join(side, "h")
+    rows = entries.join(side, "h")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
     group = F.xxhash64("h", F.least("side", "other"), F.greatest("side", "other"))
-    rows = rows.select(group.alias("g"), "node", "n", "component", "bits", "side", (F.col("side") != F.col("other")).alias("cross"))
+    rows = rows.select(group.alias("g"), "node", "component", "side", (F.col("side") != F.col("other")).alias("cross"))
+    rows = rows.join(nodes.select("node", "n", "bits"), "node")
     pairs = stored(candidates_by_bits(rows, percent), "pairs")
     some = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node").select("node", "key", "s1")
     sets = stored(whole_sets(docs, key, text, k, stored(some, "some")).dropDuplicates(["node"]), "sets")

@@ -1,12 +1,13 @@
 """A signature tree over sets, and the dual traversal that finds similar pairs.
 
 A set's signature is a bitmap with a bit for each hashed token (a Python
-integer; its width is a power of two, wider for larger sets).  A node of the
-tree holds the OR of its members' bitmaps, the range of their sizes, and the
-largest number of tokens that a member has beyond its bits.  No member of P
-shares more than popcount(P.bits & Q.bits) + min(P.spare, Q.spare) tokens with
-a member of Q, nor more than the smaller size; pairs of nodes of which that is
-too little for the threshold are passed over.
+integer).  Its width is a power of two that grows with the set; of very large
+sets only the first WINDOW bits are kept, so a signature's size is bounded.  A
+node of the tree holds the OR of its members' bitmaps, the range of their sizes,
+and the largest number of tokens that a member has beyond its bits.  No member
+of P shares more than popcount(P.bits & Q.bits) + min(P.spare, Q.spare) tokens
+with a member of Q, nor more than the smaller size; pairs of nodes of which that
+is too little for the threshold are passed over.
 """
 
 from __future__ import annotations
@@ -14,15 +15,19 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 FANOUT = 8
+WINDOW = 2048
 
 
 def width_of(n: int) -> int:
-    """Bits of the signature of n tokens: two to four per token, 64 at least."""
-    return max(64, 1 << (2 * n - 1).bit_length())
+    """Width of the bitmap of n tokens: one or two places for each, 64 at least."""
+    return max(64, 1 << (n - 1).bit_length())
 
 
-def fold(bits: int, width: int, to: int) -> int:
-    while width > to:
+def fold(bits: int | None, width: int, to: int) -> int | None:
+    """A bitmap brought to a smaller width; None, for not known, where only its first bits were kept."""
+    if width > to and width > WINDOW:
+        return None
+    while bits is not None and width > to:
         width //= 2
         bits = (bits >> width) | (bits & ((1 << width) - 1))
     return bits
@@ -42,15 +47,18 @@ def leaf(item: int, size: int, bits: int, width: int, cls: int) -> Node:
 
 def build(leaves: Sequence[Node]) -> Node:
     """Leaves in order of size and bits, joined by FANOUT, level by level."""
-    level = sorted(leaves, key=lambda x: (x.low, x.bits & 0xFFFFFFFF))
+    level = sorted(leaves, key=lambda x: (x.low, (x.bits or 0) & 0xFFFFFFFF))
     while len(level) > 1:
         parents = []
         for i in range(0, len(level), FANOUT):
             part = level[i : i + FANOUT]
             width = min(x.width for x in part)
-            bits = spare = 0
+            bits, spare = 0, 0
             for x in part:
                 folded = fold(x.bits, x.width, width)
+                if folded is None or bits is None:
+                    bits = None
+                    continue
                 bits |= folded
                 # what folding adds to the tokens beyond the bits is known of single sets only
                 spare = max(spare, x.spare if x.width == width else x.high - folded.bit_count() if x.item is not None else x.high)
@@ -68,16 +76,16 @@ def possible(p: Node, q: Node, percent: int) -> bool:
     if need > (100 + percent) * min(p.high, q.high):
         return False
     a, b = p.bits, q.bits
-    if p.width != q.width:
+    if p.width == q.width:
+        spare = min(p.spare, q.spare)
+    elif p.item is None or q.item is None:
+        return True  # how many tokens folding puts beyond the bits is known of single sets only
+    else:
         to = min(p.width, q.width)
         a, b = fold(a, p.width, to), fold(b, q.width, to)
-        # folding leaves more tokens beyond the bits; how many is known of single sets only
-        if p.item is None or q.item is None:
-            return True
-        spare = min(p.high - a.bit_count(), q.high - b.bit_count())
-    else:
-        spare = min(p.spare, q.spare)
-    return need <= (100 + percent) * ((a & b).bit_count() + spare)
+        if a is not None and b is not None:
+            spare = min(p.high - a.bit_count(), q.high - b.bit_count())
+    return a is None or b is None or need <= (100 + percent) * ((a & b).bit_count() + spare)
 
 
 def traverse(p: Node, q: Node, percent: int, visit: Callable[[int, int], None], apart: Callable[[Node, Node], bool]) -> None:
