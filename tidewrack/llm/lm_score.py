@@ -120,14 +120,15 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, b
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * blocks)
 
     block = F.pmod(F.xxhash64(*[f.name for f in kept if f.name != text and isinstance(f.dataType, T.AtomicType)], F.octet_length(text)), F.lit(blocks)).cast("int")
-    dealt = docs.withColumn("_lm_block", block).repartition(blocks, "_lm_block")
+    dealt = docs.withColumn("_lm_block", block)
 
     def state_counts(table: pa.Table) -> pa.Table:
         keys, counts = block_counts(table.column(text), _train_flags(table.column("_lm_train").combine_chunks()))
         where = np.full(len(keys), table.column("_lm_block")[0].as_py(), dtype=np.int32)
         return pa.table({"key": keys.view(np.int64), "block": where, "n": counts})
 
-    stated = dealt.select(text, "_lm_train", "_lm_block").groupBy("_lm_block").applyInArrow(state_counts, "key long, block int, n long")
+    # (all columns, so that this and the walk below read one and the same shuffle)
+    stated = dealt.groupBy("_lm_block").applyInArrow(state_counts, "key long, block int, n long")
 
     def totals(batches):
         batches = list(batches)
