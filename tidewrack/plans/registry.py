@@ -2,32 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from . import aggregates, changes, joins, reshape, scalars, sets, sources, streams, texts, windows  # noqa: F401  (they register)
+from .query import ORACLES, QUERIES
 
-from ..sources.tables import table
-
-
-def top_customers_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten customers of one market segment with the largest revenue."""
-    customer = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount")
-    revenue = F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)"))
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
-        .groupBy("c_custkey", "c_name")
-        .agg(revenue.cast("double").alias("revenue"))
-        .orderBy(F.desc("revenue"), "c_custkey")
-        .limit(10)
-    )
-
-
-QUERIES = {"top_customers_by_revenue": top_customers_by_revenue}
-ORACLES = {
-    "top_customers_by_revenue": """
-SELECT c_custkey, c_name, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-WHERE c_mktsegment = 'BUILDING' GROUP BY c_custkey, c_name ORDER BY revenue DESC, c_custkey LIMIT 10""",
-}
+__all__ = ["ORACLES", "QUERIES"]
