@@ -99,9 +99,13 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", text: st
     heads = derive(heads).groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias("_head")).select(F.col(key).alias("_head_key"), "_head")
     heads = firsts.join(heads, F.col("_follow").eqNullSafe(F.col("_head_key"))).select("_bucket", "_head")
 
-    rows = placed(derive(docs)).withColumn("next", F.lead(F.struct(*columns)).over(Window.partitionBy("_bucket").orderBy(*order)))
+    # single columns, since a struct of them would be shuffled besides them
+    follow = Window.partitionBy("_bucket").orderBy(*order)
+    rows = placed(derive(docs)).select("*", *[F.lead(c).over(follow).alias(f"_next_{c}") for c in columns], F.lead(F.lit(1)).over(follow).alias("_more"))
     rows = rows.join(heads, "_bucket")
-    return rows.withColumn("next", F.coalesce("next", "_head")).drop("_bucket", "_head")
+    own = F.struct(*[F.col(f"_next_{c}").alias(c) for c in columns])
+    rows = rows.withColumn("next", F.when(F.col("_more").isNotNull(), own).otherwise(F.col("_head")))
+    return rows.drop("_bucket", "_head", "_more", *[f"_next_{c}" for c in columns])
 
 
 def op7_fingerprints(spark, sf_dir: str) -> DataFrame:
