@@ -25,7 +25,8 @@ def brute(rows, mu=L.MU):
         yield len(ws), sum(one[w] > 0 for w in ws), n, sum(map(math.log10, p)), sum(map(math.log10, pair))
 
 
-def test_against_brute_force_over_many_blocks(spark):
+def test_against_brute_force_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(L, "RANGE_BYTES", 3000)
     texts = ["The cat sat on the mat", None, "", "  \n", "the CAT\x0bsat", "dog", "dog", "ÄÖ äö 😀 the", "a b " * 4000, "the cat ran on the mat again " * 3]
     rows = [(i, t, i % 3 != 1) for i, t in enumerate(texts * 6)] + [(None, "null id", True), (None, "null mark", None)]
     docs = spark.createDataFrame([(*r, 1.5) for r in rows], "doc_id long, text string, train boolean, score double").withColumn("place", F.monotonically_increasing_id())

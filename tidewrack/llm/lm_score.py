@@ -10,12 +10,14 @@ each word takes its arc or the failure arc and the empty state's, and the
 weights add up.  An end symbol is a word like the others, and the last.
 
 No task holds the whole automaton.  Documents are dealt to blocks of about
-`BLOCK_BYTES` of text.  Each block states its distinct words and pairs with its
-training counts, by a 64-bit hash; counts are added up by hash over the
-cluster; each block gets back the totals of those that other blocks have too
-(of the rest its own counts are the totals), which is the part of the automaton
-that its documents can touch, and scores them.  What is shuffled grows with the
-corpus; a word that all documents hold is one row per block.
+`BLOCK_BYTES` of text.  A block lists its distinct words and pairs, as sorted
+64-bit hashes with its training counts, and sends a slice of the list to each
+range of hashes; there the blocks' counts are added up, and each block gets the
+totals for the slice that it sent, in the same order.  That is the part of the
+automaton that its documents can touch, and it scores them.  What is shuffled
+grows with the corpus; a word that all documents hold is one entry per block.
+Slices shrink as blocks and ranges grow in number: beyond a few terabytes, give
+larger blocks.
 
 Defined cases: a null text is empty and is the end symbol alone; a null
 training mark counts as held out; repeated rows are rows of their own; an empty
@@ -38,6 +40,8 @@ from .common import crc_bucket, crc_bucket_sql
 
 #: Text per block; a task holds a block's texts and its part of the automaton, about six times as much.
 BLOCK_BYTES = 40 << 20
+#: Text per range of hashes; a task adds up the counts of one range, about as many entries as a tenth of this.
+RANGE_BYTES = 20 << 20
 MU = 30.0
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 ADDED = T.StructType(
@@ -90,13 +94,27 @@ def block_counts(column: pa.ChunkedArray, train: np.ndarray) -> tuple[np.ndarray
     return _added(keys, counts)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """The values' bytes, first all lowest ones, then the next: sorted or small numbers then compress in the shuffle."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def _unpack(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the equal ranges of hashes begins in sorted keys."""
+    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
+
+
 def _train_flags(column) -> np.ndarray:
     return np.asarray(column.fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
 
 
 def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """docs with the columns of ADDED; `train` is a boolean Column that marks the texts to learn from."""
-    spark = docs.sparkSession
     names = {*ADDED.fieldNames(), *_OWN}
     docs = docs.select([c for c in docs.columns if c not in names])
     kept = docs.schema.fields
@@ -117,35 +135,39 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, b
     sizes = docs.agg(F.sum(F.octet_length(text)).alias("bytes"), F.count(F.when(F.col("_lm_train"), 1)).alias("train")).first()
     total, distinct, starts = words.n or 0, words.v, sizes.train
     blocks = max(1, math.ceil((sizes.bytes or 0) / block_bytes))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * blocks)
+    ranges = max(1, math.ceil((sizes.bytes or 0) / RANGE_BYTES))
 
     block = F.pmod(F.xxhash64(*[f.name for f in kept if f.name != text and isinstance(f.dataType, T.AtomicType)], F.octet_length(text)), F.lit(blocks)).cast("int")
     dealt = docs.withColumn("_lm_block", block)
 
     def state_counts(table: pa.Table) -> pa.Table:
         keys, counts = block_counts(table.column(text), _train_flags(table.column("_lm_train").combine_chunks()))
-        where = np.full(len(keys), table.column("_lm_block")[0].as_py(), dtype=np.int32)
-        return pa.table({"key": keys.view(np.int64), "block": where, "n": counts})
+        cuts = _cuts(keys, ranges)
+        some = np.flatnonzero(np.diff(cuts))
+        slices = [slice(cuts[i], cuts[i + 1]) for i in some]
+        return pa.table(
+            {
+                "range": pa.array(some, pa.int32()),
+                "block": pa.array(np.full(len(some), table.column("_lm_block")[0].as_py()), pa.int32()),
+                "keys": pa.array([_pack(keys[x]) for x in slices], pa.binary()),
+                "counts": pa.array([_pack(counts[x]) for x in slices], pa.binary()),
+            }
+        )
 
     # (all columns, so that this and the walk below read one and the same shuffle)
-    stated = dealt.groupBy("_lm_block").applyInArrow(state_counts, "key long, block int, n long")
-
-    def totals(batches):
-        batches = list(batches)
-        if not batches:
-            return
-        key = np.concatenate([b.column(0).to_numpy() for b in batches])
-        where = np.concatenate([b.column(1).to_numpy() for b in batches])
-        n = np.concatenate([b.column(2).to_numpy() for b in batches])
-        order = np.argsort(key)
-        key, where, n = key[order], where[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(first, len(key)))
-        several = np.repeat(size > 1, size)
-        whole = np.repeat(np.add.reduceat(n, first), size)
-        yield pa.RecordBatch.from_arrays([pa.array(where[several]), pa.array(key[several]), pa.array(whole[several])], names=["_lm_block", "key", "n"])
-
-    answers = stated.repartition(parts, "key").mapInArrow(totals, "_lm_block int, key long, n long")
+    stated = dealt.groupBy("_lm_block").applyInArrow(state_counts, "range int, block int, keys binary, counts binary")
+
+    def totals(table: pa.Table) -> pa.Table:
+        keys = [_unpack(x.as_py(), np.uint64) for x in table.column("keys")]
+        counts = [_unpack(x.as_py(), np.int64) for x in table.column("counts")]
+        size = [len(k) for k in keys]
+        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        added = np.zeros(place.max() + 1, dtype=np.int64)
+        np.add.at(added, place, np.concatenate(counts))
+        whole = np.split(added[place], np.cumsum(size)[:-1])
+        return pa.table({"_lm_block": table.column("block"), "range": table.column("range"), "totals": pa.array([_pack(x) for x in whole], pa.binary())})
+
+    answers = stated.groupBy("range").applyInArrow(totals, "_lm_block int, range int, totals binary")
     schema = T.StructType([*kept, *ADDED.fields])
 
     def walk(table: pa.Table, answer: pa.Table) -> pa.Table:
@@ -153,8 +175,9 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, b
             return schema_table.slice(0, 0)
         column, flags = table.column(text), _train_flags(table.column("_lm_train").combine_chunks())
         keys, counts = block_counts(column, flags)
-        at = np.searchsorted(keys, answer.column("key").to_numpy().view(np.uint64))
-        counts[at] = answer.column("n").to_numpy()
+        cuts = _cuts(keys, ranges)
+        for i, x in zip(answer.column("range").to_pylist(), answer.column("totals")):
+            counts[cuts[i] : cuts[i + 1]] = _unpack(x.as_py(), np.int64)
         count_of = lambda key: counts[np.searchsorted(keys, key)]
         floor = np.float64(total + distinct + 1)
         out = {c: [] for c in ADDED.fieldNames()}
