@@ -15,7 +15,8 @@ Documents with equal sets are one node; all work is on nodes.
 4. Prefix shingles that still join two components are the candidates left.
    Their nodes meet by bitmap in a signature tree, again only across
    components; groups too large for a task are met in pairs of chunks.  Pairs
-   that may be similar are then compared by whole sets.
+   that may be similar, and that met in as many groups as similar sets must,
+   are then compared by whole sets.
 5. Components of all links.
 
 Step 3 is a short cut; steps 4 and 5 would find the same components without it.
@@ -30,6 +31,8 @@ empty result; other columns are not carried.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -236,18 +239,37 @@ def link_by_sets(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of nodes in groups g of node, n, component, bits, side, cross that may be similar, of different components."""
+    """Pairs a, b of nodes of different components that may be similar, from groups g of node, n, component, bits, side, cross.
+
+    A group holds the nodes that share one prefix shingle.  Of two similar sets
+    with smaller size x and larger y, that share at least t shingles, all but
+    ceil(y * percent / 100) - 1 of the larger one lie in its prefix or beyond
+    the other's, so they share t - ceil(y * percent / 100) + 1 prefix shingles
+    at least: that many groups must have met the pair.
+    """
 
     def run(batches):
+        met: Counter = Counter()
+
+        def flush():
+            keys = list(met)
+            columns = [pa.array(x, pa.int64()) for x in (*zip(*keys), met.values())]
+            met.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "na", "nb", "groups"])
+
         for group in _groups(batches):
-            nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
-            sides, cross = group.column("side").to_pylist(), group.column("cross")[0].as_py()
+            comps = group.column("component").to_pylist()
             if len(set(comps)) < 2:
                 continue
-            sizes, bits = group.column("n").to_pylist(), group.column("bits").to_pylist()
+            nodes, sizes, bits = (group.column(c).to_pylist() for c in ("node", "n", "bits"))
+            sides, cross = group.column("side").to_pylist(), group.column("cross")[0].as_py()
             leaves = [S.leaf(i, n, int.from_bytes(x, "little"), S.width_of(n), c) for i, (n, x, c) in enumerate(zip(sizes, bits, comps))]
-            pairs: list[tuple[int, int]] = []
-            visit = lambda i, j: pairs.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+
+            def visit(i, j):
+                if nodes[i] > nodes[j]:
+                    i, j = j, i
+                met[nodes[i], nodes[j], sizes[i], sizes[j]] += 1
+
             apart = lambda p, q: p.classes is None or p.classes != q.classes
             if cross:
                 halves = [[x for x in leaves if sides[x.item] == s] for s in sorted(set(sides))]
@@ -256,10 +278,15 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
             else:
                 root = S.build(leaves)
                 S.traverse(root, root, percent, visit, apart)
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*set(pairs))], names=["a", "b"])
-
-    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long").distinct()
+            if len(met) > 200_000:
+                yield flush()
+        if met:
+            yield flush()
+
+    met = rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long, na long, nb long, groups long")
+    met = met.groupBy("a", "b", "na", "nb").agg(F.sum("groups").alias("groups"))
+    least = f"(na + nb) * {percent} + {99 + percent}) div {100 + percent} - (greatest(na, nb) * {percent} + 99) div 100 + 1"
+    return met.where(F.expr(f"groups >= ({least}")).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
