@@ -38,8 +38,8 @@ from pyspark.sql import types as T
 from . import tokens
 from .common import crc_bucket, crc_bucket_sql
 
-#: Text per block; a task holds a block's texts and its part of the automaton, about six times as much.
-BLOCK_BYTES = 40 << 20
+#: Text per block; a task holds a block's texts and its part of the automaton, about ten times as much.
+BLOCK_BYTES = 16 << 20
 #: Text per range of hashes; a task adds up the counts of one range, about as many entries as a tenth of this.
 RANGE_BYTES = 20 << 20
 MU = 30.0
