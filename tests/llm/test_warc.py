@@ -6,16 +6,16 @@ import pytest
 import zstandard
 
 from tidewrack.llm import warc as W
-from tidewrack.llm.common import shared_dir
+from tidewrack.llm.common import shared_dir, stored
 
 SCHEMA = "page_id long, url string, html string, payload int"
 
 
 def round_trip(spark, data, **kw):
     folder = shared_dir(spark, "warc-test")
-    archives = W.write_pages(spark.createDataFrame(data, SCHEMA), folder, **kw).collect()
-    assert sum(a.records for a in archives) == len(data)
-    return W.read_pages(spark, ["file://" + a.path for a in archives]).collect(), folder
+    archives = stored(W.write_pages(spark.createDataFrame(data, SCHEMA), folder, **kw), "archives")
+    assert sum(a.records for a in archives.collect()) == len(data)
+    return W.read_pages(archives).collect(), folder
 
 
 def test_round_trip_with_revisits(spark):

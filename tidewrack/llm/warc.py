@@ -29,10 +29,10 @@ from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import shared_dir, stored
 
 DICTIONARY_MAGIC = 0x184D2A5D
 #: Of each archive's first records at most so many, and bytes of each, go into its dictionary.
@@ -186,7 +186,7 @@ READ = "page_id long, url string, record_type string, refers_to long, payload_by
 
 
 def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
-    """Write archives of page_id, url and html under `folder`; a row per archive: path, records, bytes."""
+    """Write archives of page_id, url and html under the URI `folder`; a row per archive: path (a URI), records, bytes."""
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     digests = pages.where(F.octet_length("payload") >= least_bytes).select("page_id", F.sha1("payload").alias("digest"))
     groups = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -195,7 +195,6 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
     rows = pages.join(revisits, (F.col("page_id") == F.col("revisit")) & (F.sha1("payload") == revisits.digest), "left")
 
     def run(batches):
-        import os
         import uuid
 
         from pyarrow import fs
@@ -206,10 +205,10 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
 
         def close():
             archive = write_archive(held)
-            path = os.path.join(root, f"{uuid.uuid4().hex}.warc.zst")  # a retried task writes other files; only one attempt is reported
-            with store.open_output_stream(path, compression=None) as out:
+            name = f"{uuid.uuid4().hex}.warc.zst"  # a retried task writes other files; only one attempt is reported
+            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(archive)
-            found = {"path": [path], "records": [len(held)], "bytes": [len(archive)]}
+            found = {"path": [f"{folder}/{name}"], "records": [len(held)], "bytes": [len(archive)]}
             held.clear()
             return pa.RecordBatch.from_pydict(found)
 
@@ -228,14 +227,19 @@ def write_pages(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFram
     return written
 
 
-def read_pages(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Rows of READ from archives, each archive read by one task."""
+def read_pages(archives: DataFrame, tasks: int = 10_000) -> DataFrame:
+    """Rows of READ from the archives at `path`, each archive read by one task; at most `tasks` at a time."""
 
     def run(batches):
+        from pyarrow import fs
+
         for batch in batches:
-            for content in batch.column("content"):
+            for uri in batch.column("path").to_pylist():
+                store, path = fs.FileSystem.from_uri(uri)
+                with store.open_input_file(path) as f:
+                    archive = f.read()
                 rows, size = [], 0
-                for data in frames(content.as_py()):
+                for data in frames(archive):
                     rows.append(page_of(*parse_record(data)))
                     size += len(data)
                     if size >= 8 << 20:
@@ -245,16 +249,13 @@ def read_pages(spark: SparkSession, paths: list[str]) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     schema = pa.schema([(n, {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k]) for n, k in (x.split() for x in READ.split(", "))])
-    if not paths:
-        return spark.createDataFrame([], READ)
-    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, READ)
+    dealt = archives.select("path").repartition(max(1, min(tasks, archives.count())), "path")
+    return dealt.mapInArrow(run, READ)
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
-    folder = shared_dir(spark, "warc")
-    archives = write_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder).collect()
-    scheme = folder.partition(":")[0]
-    pages = read_pages(spark, [f"{scheme}://{a.path}" for a in archives])
+    archives = write_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), shared_dir(spark, "warc"))
+    pages = read_pages(stored(archives, "archives"))
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
