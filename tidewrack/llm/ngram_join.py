@@ -77,7 +77,7 @@ def common_shingles(docs: DataFrame, text: str, k: int) -> np.ndarray:
             if len(both):
                 first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
                 keys, counts = both[first], np.add.reduceat(weight, first)
-            if len(keys) > 4_000_000:  # shingles met once so far are not common ones
+            if len(keys) > 1_000_000:  # shingles met once so far are not common ones
                 keys, counts = keys[counts > 1], counts[counts > 1]
         often = counts >= max(4, COMMON_SHARE * docs_seen)
         yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["h", "n"])

@@ -19,7 +19,7 @@ _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 #: Bytes hashed in one NumPy pass; longer batches are cut between documents.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
