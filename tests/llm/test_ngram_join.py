@@ -67,6 +67,7 @@ def test_odd_rows(spark):
 @pytest.mark.parametrize("group", [6, 2048])
 def test_near_copies_and_shared_passages(spark, monkeypatch, group):
     monkeypatch.setattr(J, "GROUP_NODES", group)
+    monkeypatch.setattr(J, "SET_NODES", group)
     monkeypatch.setattr(J, "LEAST_COMMON", 10)
     r = random.Random(4)
     word = lambda: f"w{r.randrange(5000)}"

@@ -45,8 +45,8 @@ from .components import components
 
 COMMON_SHARE, LEAST_COMMON = 0.001, 64
 MINIMA = 3
-#: Nodes compared in one group; a larger group is cut (step 3) or met in pairs of chunks (step 4).
-GROUP_NODES = 2048
+#: Nodes compared in one group: a larger one is met in pairs of chunks (step 4), or cut, differently for each minimum (step 3).
+GROUP_NODES, SET_NODES = 2048, 4096
 #: Keys sent to every task when fetching some documents' texts, at most; beyond, both sides are shuffled.
 SENT_KEYS = 500_000
 _SEEDS = [np.uint64(x) for x in (0, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -299,7 +299,7 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     # step 3: nodes that share a minimum
     minima = nodes.select("node", F.explode("minima").alias("m"))
     shared = minima.groupBy("m").agg(F.count("*").alias("size")).where("size > 1")
-    met = stored(minima.join(shared, "m").select("node", F.xxhash64("m", F.floor(F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP_NODES)))).alias("g")), "minima")
+    met = stored(minima.join(shared, "m").select("node", F.xxhash64("m", F.floor(F.pmod(F.xxhash64("node", "m"), F.ceil(F.col("size") / SET_NODES)))).alias("g")), "minima")
     some = nodes.join(met.select("node").distinct(), "node").select("node", "key", "s1")
     sets = whole_sets(docs, key, text, k, stored(some, "some"))
     edges = stored(link_by_sets(met.join(sets, "node").select("g", "node", "shingles"), percent), "edges")
