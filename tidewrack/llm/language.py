@@ -172,7 +172,7 @@ def fit(labelled: DataFrame, *, text: str = "text", label: str = "lang") -> dict
     }
 
 
-def _parts(texts: list[str], rows: int = 256, chars: int = 1 << 20):
+def _parts(texts: list[str], rows: int = 128, chars: int = 1 << 19):
     """Runs of texts, bounded in number and characters (one text may exceed them)."""
     part, size = [], 0
     for t in texts:
@@ -214,6 +214,7 @@ def predict(docs: DataFrame, model: dict, *, text: str = "text") -> DataFrame:
                 extra = [pa.array(names, pa.string()), pa.array(score), pa.array(distance), pa.array(rejected)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, n).columns, *extra], names=schema.fieldNames())
                 first += n
+        tokens.release()
 
     return docs.mapInArrow(run, schema)
 

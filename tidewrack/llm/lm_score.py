@@ -129,6 +129,7 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, b
                 symbol = symbol[flags[a:b][owner]]
                 key, n = _added([symbol], [np.ones(len(symbol), np.int64)])
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+        tokens.release()
 
     words = docs.select(F.col(text).alias("text"), F.col("_lm_train").alias("train")).mapInArrow(vocabulary, "key long, n long")
     words = words.groupBy("key").agg(F.sum("n").alias("n")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
@@ -197,6 +198,8 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, b
             for name, values in zip(out, found):
                 out[name].append(values)
         columns = [*[table.column(f.name) for f in kept], *[pa.array(np.concatenate(v)) for v in out.values()]]
+        del keys, counts, data, symbol, state
+        tokens.release()
         return pa.table(dict(zip(schema.fieldNames(), columns)))
 
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -61,6 +61,7 @@ def _sets(batches, text: str, k: int):
             start, end, doc = tokens.words(part, at)
             hashes, owner = tokens.shingles(tokens.word_hashes(part, start, end), doc, b - a, k)
             yield batch.slice(a, b - a), hashes, owner, np.searchsorted(owner, np.arange(b - a + 1))
+    tokens.release()
 
 
 def common_shingles(docs: DataFrame, text: str, k: int) -> np.ndarray:

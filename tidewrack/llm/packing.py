@@ -40,7 +40,7 @@ SPECIAL = "<|endoftext|>"
 #: Pieces placed by one task call; a bound on its memory, not on the input.
 GROUP_PIECES = 20_000
 #: Distinct stretches of text whose ids a worker keeps at hand, about.
-POOL_STRETCHES = 1_500_000
+POOL_STRETCHES = 500_000
 
 
 @cache
@@ -180,6 +180,7 @@ def tokenize(
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(piece, pa.int32()), pa.array(begin, pa.int64()), pa.array(length, pa.int64()), ids], names=schema.fieldNames()
                 )
+        tokens.release()
 
     return docs.mapInArrow(run, schema)
 

@@ -171,6 +171,7 @@ def clean_lines(docs: DataFrame, most_lost: float = 0.3, text: str = "text") ->
                 extra = [pa.array(found[c], kinds.get(c, pa.int64())) for c in ADDED.fieldNames()]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=schema.fieldNames())
+        tokens.release()
 
     return docs.mapInArrow(run, schema)
 

@@ -9,6 +9,9 @@ n*n / 2**65 pairs share a hash (under one in a million for five million words).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -19,7 +22,7 @@ _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
 #: Bytes hashed in one NumPy pass; longer batches are cut between documents.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,6 +64,13 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers live on, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES):
     """Document ranges (first, last) of about `most` bytes each."""
     first, n = 0, len(offsets) - 1
