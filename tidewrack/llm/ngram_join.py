@@ -7,12 +7,15 @@ Documents with equal sets are one node; all work is on nodes.
    shingles per document) / COMMON_SHARE entries and changes speed only.
 2. One pass over the texts gives each document's set hash, its bitmap, three
    minima of its shingle hashes, and its prefix: the first size -
-   ceil(size * percent / 100) + 1 shingles in the order (common, hash).  Two
-   sets over the threshold always share a shingle of both prefixes.
+   ceil(size * percent / 100) + 1 shingles in the order (common, hash), with the
+   common ones apart.  Two sets over the threshold always share a shingle of
+   both prefixes.
 3. Nodes that share a minimum are compared by whole sets, in groups of bounded
    size, by a signature tree; nodes already linked to one another are not
    compared again, so a group of near copies costs little more than its size.
-4. Prefix shingles that still join two components are the candidates left.
+4. Prefix shingles that still join two components are the candidates left: of
+   common ones, counts are added up first and few keys sent to all tasks; the
+   others, none of which many documents hold, meet in one shuffle.
    Their nodes meet by bitmap in a signature tree, again only across
    components; groups too large for a task are met in pairs of chunks.  Pairs
    that may be similar, and that met in as many groups as similar sets must,
@@ -35,7 +38,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import signature_tree as S
@@ -89,7 +92,7 @@ def common_shingles(docs: DataFrame, text: str, k: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, key: str, text: str, k: int, percent: int, common: np.ndarray) -> DataFrame:
-    """key, n, s1, s2 (hash of the set), minima, bits and prefix of each document."""
+    """key, n, s1, s2 (hash of the set), minima, bits, and the prefix in its rare and common shingles, of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
@@ -122,27 +125,30 @@ def describe(docs: DataFrame, key: str, text: str, k: int, percent: int, common:
             order = np.lexsort((h, late, owner)) if late.any() else np.arange(len(h))
             reach = n - -(-n * percent // 100) + 1
             reach[n == 0] = 0
-            prefix = h[order][np.arange(len(h)) - np.repeat(at[:-1], n) < np.repeat(reach, n)]
+            picked = order[np.arange(len(h)) - np.repeat(at[:-1], n) < np.repeat(reach, n)]
+            rare, often = picked[~late[picked]], picked[late[picked]]
             listed = lambda values, counts, kind: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values, kind))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(key), pa.array(n), pa.array(per["s1"].view(np.int64)), pa.array(per["s2"].view(np.int64)),
                     listed(minima.ravel().view(np.int64), np.full(len(n), MINIMA), pa.int64()),
                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((place // 8).astype(np.int32)), pa.py_buffer(bits)]),
-                    listed(prefix.view(np.int64), reach, pa.int64()),
+                    *(listed(h[x].view(np.int64), np.bincount(owner[x], minlength=len(n)), pa.int64()) for x in (rare, often)),
                 ],
-                names=["key", "n", "s1", "s2", "minima", "bits", "prefix"],
+                names=["key", "n", "s1", "s2", "minima", "bits", "rare", "often"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, minima array<long>, bits binary, prefix array<long>")
+    return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, minima array<long>, bits binary, rare array<long>, often array<long>")
 
 
 def whole_sets(docs: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> DataFrame:
-    """node, n, shingles (sorted hashes) of nodes(node, key, s1), from the text of one of each node's documents."""
-    nodes = nodes.select("node", F.col("key").alias("_key"), "s1")
+    """The columns of nodes(node, key, s1, others) but key and s1, n, and shingles (sorted hashes), from the text of one of each node's documents."""
+    carried = [f for f in nodes.schema.fields if f.name not in ("key", "s1")]
+    names = [f.name for f in carried]
+    nodes = nodes.select(*names, F.col("key").alias("_key"), "s1")
     side = F.broadcast(nodes) if nodes.count() <= SENT_KEYS else nodes
-    rows = docs.select(F.col(key).alias("_own"), F.col(text).alias("text")).join(side, F.col("_own").eqNullSafe(F.col("_key"))).select("node", "s1", "text")
+    rows = docs.select(F.col(key).alias("_own"), F.col(text).alias("text")).join(side, F.col("_own").eqNullSafe(F.col("_key"))).select(*names, "s1", "text")
 
     def run(batches):
         for part, h, _, at in _sets(batches, "text", k):
@@ -153,9 +159,9 @@ def whole_sets(docs: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -
                 s1[has] = np.add.reduceat(tokens.mix(h ^ _SEEDS[0]), at[:-1][has])
             own = s1.view(np.int64) == part.column("s1").to_numpy()  # an id may stand at another text, too
             sets = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((at * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(h))])
-            yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(n), sets], names=["node", "n", "shingles"]).filter(pa.array(own))
+            yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(n), sets], names=[*names, "n", "shingles"]).filter(pa.array(own))
 
-    return rows.mapInArrow(run, "node long, n long, shingles binary")
+    return rows.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in carried), "n long, shingles binary"]))
 
 
 def _groups(batches, column: str = "g"):
@@ -294,26 +300,27 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     """key, n_shingles, component_id of every row of docs."""
     info = stored(describe(docs, key, text, k, percent, common_shingles(docs, text, k)), "documents")
     groups = info.where("n > 0").groupBy("s1", "s2", "n")
-    nodes = groups.agg(F.min("key").alias("key"), F.first("minima").alias("minima"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    nodes = groups.agg(F.min("key").alias("key"), F.first("minima").alias("minima"), *(F.first(c).alias(c) for c in ("bits", "rare", "often")))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # step 3: nodes that share a minimum
     minima = nodes.select("node", F.explode("minima").alias("m"))
     shared = minima.groupBy("m").agg(F.count("*").alias("size")).where("size > 1")
-    met = stored(minima.join(shared, "m").select("node", F.xxhash64("m", F.floor(F.pmod(F.xxhash64("node", "m"), F.ceil(F.col("size") / SET_NODES)))).alias("g")), "minima")
-    some = nodes.join(met.select("node").distinct(), "node").select("node", "key", "s1")
+    met = minima.join(shared, "m").select("node", F.xxhash64("m", F.floor(F.pmod(F.xxhash64("node", "m"), F.ceil(F.col("size") / SET_NODES)))).alias("g"))
+    some = nodes.join(met.groupBy("node").agg(F.collect_set("g").alias("groups")), "node").select("node", "key", "s1", "groups")
     sets = whole_sets(docs, key, text, k, stored(some, "some"))
-    edges = stored(link_by_sets(met.join(sets, "node").select("g", "node", "shingles"), percent), "edges")
+    edges = stored(link_by_sets(sets.select(F.explode("groups").alias("g"), "node", "shingles"), percent), "edges")
     first = components(edges)
 
     # step 4: prefix shingles that join components
-    labelled = nodes.join(first, "node", "left").select("node", "prefix", F.coalesce("component", "node").alias("component"))
-    entries = labelled.select("node", "component", F.explode("prefix").alias("h"))
-    joining = entries.groupBy("h").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("h", "size")
-    joining = stored(joining, "joining")
-    side = F.broadcast(joining) if joining.count() <= SENT_KEYS else joining
+    labelled = nodes.join(first, "node", "left").select("node", "rare", "often", F.coalesce("component", "node").alias("component"))
+    rare, often = (labelled.select("node", "component", F.explode(c).alias("h")) for c in ("rare", "often"))
+    facts = {"size": F.count("*"), "low": F.min("component"), "high": F.max("component")}
+    rare = rare.withColumns({c: x.over(Window.partitionBy("h")) for c, x in facts.items()}).where("low <> high")
+    joining = often.groupBy("h").agg(*(x.alias(c) for c, x in facts.items())).where("low <> high")  # common shingles, at most
+    often = often.join(F.broadcast(joining), "h")
+    rows = rare.select("h", "node", "component", "size").union(often.select("h", "node", "component", "size"))
     chunks = F.ceil(F.col("size") / GROUP_NODES)
-    rows = entries.join(side, "h")
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
     group = F.xxhash64("h", F.least("side", "other"), F.greatest("side", "other"))
     rows = rows.select(group.alias("g"), "node", "component", "side", (F.col("side") != F.col("other")).alias("cross"))
@@ -349,4 +356,3 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-

@@ -15,12 +15,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 FANOUT = 8
-WINDOW = 2048
+WINDOW = 8192
 
 
 def width_of(n: int) -> int:
-    """Width of the bitmap of n tokens: one or two places for each, 64 at least."""
-    return max(64, 1 << (n - 1).bit_length())
+    """Width of the bitmap of n tokens: four to eight places for each, 64 at least."""
+    return max(64, 4 << (n - 1).bit_length())
 
 
 def fold(bits: int | None, width: int, to: int) -> int | None:
