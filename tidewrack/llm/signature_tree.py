@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 FANOUT = 8
-WINDOW = 8192
+WINDOW = 2048
 
 
 def width_of(n: int) -> int:
