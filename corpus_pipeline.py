@@ -10,7 +10,9 @@ to the shared folder and read again.
 3. near_duplicates: of each group of documents linked by at least 0.8 of their
    five-word shingles, the one of the smallest doc_id stays.
 4. mixing: documents are put in the order of the Pfair schedule of sources.
-5. packing: documents become pieces of token ids, placed in sequences.
+5. packing: documents become pieces of token ids, placed in sequences.  Each
+   stretch of the order in which they stand is packed on its own, and
+   sequence_id follows the stretches.
 
 Rows of the same doc_id and text are one document from stage 3 on; rows without
 a doc_id are compared by text only there.
@@ -18,7 +20,8 @@ a doc_id are compared by text only there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewrack.llm.common import stored
@@ -60,8 +63,33 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_sources(docs).orderBy("mix_position").select(docs.columns)
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with _position, each row's place in the order of the written files (from 0, gapless).
+
+    A table that is not read from Parquet as it stands is written first, in its own order.
+    """
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty() or "row_index" not in _metadata_of(docs):
+        docs = stored(docs, "ordered")
+    rows = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # a row per file; writers number files by partition, in more digits where they are many
+    files = rows.groupBy("_file").agg(F.count("*").alias("n"))
+    before = Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.join(F.broadcast(files), "_file")
+    return rows.withColumn("_position", F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
+
+
+def _metadata_of(docs: DataFrame) -> list[str]:
+    """Names of the fields that a read of files gives besides its columns."""
+    try:
+        return docs.select("_metadata.*").columns
+    except AnalysisException:
+        return []
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(stored(tokenize(docs.select("doc_id", "text")), "pieces"))
+    docs = _numbered(docs).select("doc_id", "text", "_position")
+    return pack(stored(tokenize(docs), "pieces"), position="_position").drop("_position")
 
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("mixing", mixing), ("packing", packing)]

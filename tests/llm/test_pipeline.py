@@ -1,6 +1,8 @@
 from collections import defaultdict
 
 import corpus_pipeline as P
+from pyspark.sql import functions as F
+from tidewrack.llm import packing as K
 from test_ngram_join import brute
 from test_packing import ids_of
 
@@ -53,3 +55,29 @@ def test_repeated_null_and_empty_rows(spark):
             rows = spark.createDataFrame(stage(spark, rows, "").collect() or [], stage(spark, rows, "").schema)
             if "text" not in rows.columns:
                 break
+
+
+def test_sequences_follow_the_mixed_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "GROUP_PIECES", 1000)
+    n, first = {"a": 3600, "b": 1600, "c": 400}, {"a": 0, "b": 10**5, "c": 10**6}
+    rows = [(i, s, f"{s} " * (1 + i % 300)) for s, k in n.items() for i in range(first[s], first[s] + k)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7, "text")
+    mixed = P.mixing(spark, docs, "")
+    mixed.write.parquet(str(tmp_path / "mixed"))
+    source, size = {r[0]: r[1] for r in rows}, len(rows)
+    target = {s: k**0.5 / sum(x**0.5 for x in n.values()) for s, k in n.items()}
+    # a stretch has about 933 documents; c has 1/6 of the slots, so its 400 rows last for two whole stretches
+    for given in (spark.read.parquet(str(tmp_path / "mixed")), mixed):
+        sequences = defaultdict(list)
+        for r in P.packing(spark, given, "").collect():
+            sequences[r.sequence_id].append(r.doc_id)
+        order = [d for s in sorted(sequences) for d in dict.fromkeys(sequences[s])]
+        assert len(order) == size
+        place = {r.doc_id: i for i, r in enumerate(spark.read.parquet(str(tmp_path / "mixed")).orderBy(F.col("_metadata.file_path"), F.col("_metadata.row_index")).collect())}
+        stretch = -(-size // 6)
+        for k in range(6):
+            assert {place[d] for d in order[k * stretch : (k + 1) * stretch]} == set(range(k * stretch, min((k + 1) * stretch, size)))
+        for k in range(2):
+            part = [source[d] for d in order[k * stretch : (k + 1) * stretch]]
+            for s, share in target.items():
+                assert abs(part.count(s) - share * len(part)) <= 2 * 64

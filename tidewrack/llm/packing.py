@@ -10,6 +10,12 @@ open bins smallest; a bin is opened only where none fits (letting the rule open
 bins as well took 1.7 % more sequences).  Groups are independent, so the work
 spreads over the cluster; each leaves a few open bins.
 
+Where the order of documents matters, `pack` takes their positions: groups are
+then stretches of successive documents, of which each leaves at most one piece
+that is not full, and a sequence is numbered by its first document's position,
+so that sequences of a stretch hold its documents alone and follow those of the
+stretch before.
+
 `tokenize` maps texts to pieces; `pack` places pieces of given lengths and
 passes other columns through, so that it moves ids only if asked to.
 
@@ -212,24 +218,50 @@ def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return which, offset
 
 
-def pack(pieces: DataFrame, *, most: int = MAX_TOKENS, length: str = "length", spread: tuple[str, ...] = ("doc_id", "piece", "length")) -> DataFrame:
-    """pieces with sequence_id and offset.  Pieces of `most` tokens never leave their place."""
+def pack(
+    pieces: DataFrame,
+    *,
+    most: int = MAX_TOKENS,
+    length: str = "length",
+    spread: tuple[str, ...] = ("doc_id", "piece", "length"),
+    position: str | None = None,
+) -> DataFrame:
+    """pieces with sequence_id and offset.  Pieces of `most` tokens never leave their place.
+
+    `position` names a column of documents' different places from 0 in an order to keep; pieces then need a column piece, as `tokenize` gives.
+    """
     pieces = pieces.select([c for c in pieces.columns if c not in ("sequence_id", "offset")])
-    whole = pieces.where(F.col(length) >= most).select(
-        "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
+    # a text has less than 2^31 bytes, so its pieces' numbers fit in this many bits
+    bits = 32 - most.bit_length()
+    if position is None:
+        own = -1 - F.monotonically_increasing_id()
+    else:
+        own = F.shiftleft(F.col(position), bits) + F.col("piece")
+    whole = pieces.where(F.col(length) >= most).select("*", own.alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     short = pieces.where(F.col(length) < most)
-    groups = max(1, math.ceil(short.count() / GROUP_PIECES))
+    if position is None:
+        groups = max(1, math.ceil(short.count() / GROUP_PIECES))
+        key = F.pmod(F.xxhash64(*spread), F.lit(groups))
+    else:
+        documents = (pieces.agg(F.max(position)).first()[0] or 0) + 1
+        stretch = math.ceil(documents / math.ceil(documents / GROUP_PIECES))
+        key = F.floor(F.col(position) / stretch)
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     n_fields = len(pieces.columns)
 
     def run(table: pa.Table) -> pa.Table:
         group = table.column("_group")[0].as_py()
+        if position is not None:
+            table = table.sort_by(position)
         which, offset = place(table.column(length).to_numpy().astype(np.int64), most)
-        columns = [*table.columns[:n_fields], pa.array(which + (np.int64(group) << 32)), pa.array(offset)]
+        if position is None:
+            number = which + (np.int64(group) << 32)
+        else:
+            first = np.unique(which, return_index=True)[1]
+            number = (table.column(position).to_numpy().astype(np.int64)[first] << bits)[which]
+        columns = [*table.columns[:n_fields], pa.array(number), pa.array(offset)]
         return pa.Table.from_arrays(columns, names=schema.fieldNames())
 
-    key = F.pmod(F.xxhash64(*spread), F.lit(groups))
     placed = short.withColumn("_group", key).groupBy("_group").applyInArrow(run, schema)
     return whole.unionByName(placed)
 
