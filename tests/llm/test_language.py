@@ -52,3 +52,15 @@ def test_held_out_accuracy(spark):
     want = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
     got = [r for r in L.op1_language_id(spark, sf).collect() if r.held_out]
     assert sum(want[r.doc_id] == r.lang_pred for r in got) >= 0.97 * len(got)
+
+
+def test_copies_neither_hide_a_language_nor_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE", 30)
+    rows = [(t, "aa") for t in texts("aa", 10, 1)] + [(texts("aa", 1, 7)[0], "aa")] * 4000
+    rows += [(t, "bb") for t in texts("bb", 100, 2)] + [(texts("bb", 1, 8)[0], "bb")] * 500
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    assert L.fit(train)["langs"] == ["aa", "bb"]
+    drawn = [(r.lang, r.text) for r in L.draw(train).collect()]
+    assert len(set(drawn)) == len(drawn)
+    assert {x for x in drawn if x[0] == "aa"} == {(k, t) for t, k in rows if k == "aa"}
+    assert sum(k == "bb" for k, _ in drawn) == 30

@@ -10,10 +10,10 @@ A text is rejected when it is further from its centroid than nearly all
 training texts of that language are from theirs (`REJECT_QUANTILE`, plus a
 margin), or when it has no letter.
 
-Training takes about `SAMPLE` labelled texts of each language, chosen by a hash
-of the text (all where there are fewer): one pass over the labels to count
-languages, one over the table to fetch the sample.  Document frequencies are
-those of the sample.  The model that is sent to the tasks has at most
+Training takes the `SAMPLE` different labelled texts of each language that are
+first by a hash of the text (all where there are fewer), so copies neither crowd
+out other texts nor add rows: one pass over the table to hash the texts, one to
+fetch the sample.  Document frequencies are those of the sample.  The model that is sent to the tasks has at most
 languages * CLUSTERS * DIMENSIONS weights.  Prediction reads every text once,
 whole, without a shuffle.
 
@@ -31,7 +31,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,7 @@ from .common import crc_bucket, stored
 DIMENSIONS = 1 << 13
 SIZES = (1, 2, 3)
 CLUSTERS = 4
-#: Texts of a language that the model is fitted on, about.
+#: Different texts of a language that the model is fitted on, at most.
 SAMPLE = 600
 REJECT_QUANTILE, REJECT_MARGIN = 0.999, 0.2
 UNKNOWN = "und"
@@ -122,12 +122,24 @@ def _cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centers
 
 
+def draw(labelled: DataFrame) -> DataFrame:
+    """lang and text of the SAMPLE different texts of each lang that come first by hash, once each."""
+    hashed = labelled.withColumn("_hash", F.xxhash64("text"))
+    different = stored(hashed.select("lang", "_hash").distinct(), "language-texts")
+    # of about twice as many texts as wanted, which hardly can be too few, the first are ranked
+    sizes = different.groupBy("lang").agg(F.count("*").alias("n"))
+    low = different.join(F.broadcast(sizes), "lang").where(F.pmod("_hash", F.lit(1 << 30)) / (1 << 30) < 2 * SAMPLE / F.col("n"))  # a row per language
+    first = Window.partitionBy("lang").orderBy(F.pmod("_hash", F.lit(1 << 30)), "_hash")
+    keys = low.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= SAMPLE).select("lang", "_hash")
+    found = hashed.join(F.broadcast(keys), ["lang", "_hash"])  # at most SAMPLE rows per language
+    # combined within tasks, so that of a text's copies each task sends one
+    return found.groupBy("lang", "_hash").agg(F.first("text").alias("text")).select("lang", "text")
+
+
 def fit(labelled: DataFrame, *, text: str = "text", label: str = "lang") -> dict:
     """The model: languages, idf, centroids, each centroid's language, and each language's furthest distance."""
     labelled = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))
-    share = labelled.groupBy("lang").agg(F.count("*").alias("n")).select("lang", F.least(F.lit(1.0), SAMPLE / F.col("n")).alias("share"))
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / (1 << 30)
-    picked = labelled.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("lang", "text")  # a row per language
+    picked = draw(labelled)
     weight = T.StructType([T.StructField("lang", T.StringType()), T.StructField("df", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("x", T.BinaryType())])
 
     def learn(table: pa.Table) -> pa.Table:
