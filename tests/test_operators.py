@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tidewrack.operators import aggregates, changes, joins, windows
+from tidewrack.streaming import events
 
 
 def rows(df):
@@ -61,3 +62,16 @@ def test_plans_push_down(spark):
     plan = QUERIES["filter_range"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "PushedFilters: [" in plan and "GreaterThanOrEqual(o_totalprice,50000.0)" in plan
     assert "o_custkey" not in plan.split("ReadSchema:")[1].split(">")[0]
+
+
+def test_drained_streams_are_files_beside_their_state(spark, tmp_path):
+    source = str(tmp_path / "in.parquet")
+    spark.createDataFrame([(i, i % 3, datetime(2024, 1, 1)) for i in range(30)], "i long, k long, ts timestamp").repartition(3).write.parquet(source)
+    read = lambda: spark.readStream.schema("i long, k long").option("maxFilesPerTrigger", 1).parquet(source)
+    counts = [(k, sum(range(k, 30, 3))) for k in range(3)]
+    cases = [("all", "append", read(), [(i, i % 3) for i in range(30)]), ("sums", "complete", read().groupBy("k").agg(F.sum("i")), counts), ("none", "append", read().where("i < 0"), [])]
+    for name, mode, stream, want in cases:
+        out = events.drain(stream, f"file://{tmp_path}/{name}", mode)
+        assert out.inputFiles() and all(f"{tmp_path}/{name}/" in f for f in out.inputFiles())
+        assert (tmp_path / f"{name}-state" / "commits" / "2").exists()
+        assert rows(out) == sorted(want, key=str)

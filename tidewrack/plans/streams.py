@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
@@ -16,40 +14,36 @@ def _events(t):
     return S.stream(t.spark, f"{t.sf_dir}/events.parquet")
 
 
-def _name(kind: str) -> str:
-    return f"{kind}_{uuid.uuid4().hex}"
-
-
 @query("""
 SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events
 WHERE time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""")
 def stream_tumbling(t):
     """Windows that the watermark has closed."""
     rows = S.tumbling(_events(t), "ts", "1 day", "1 hour", ["event_type"], F.count("*").alias("n"))
-    return S.drain(rows.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), _name("tumbling"))
+    return S.drain(rows.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n"), scratch(t.spark))
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def stream_counts(t):
-    return S.drain(_events(t).groupBy("event_type").agg(F.count("*").alias("n")), _name("counts"), "complete")
+    return S.drain(_events(t).groupBy("event_type").agg(F.count("*").alias("n")), scratch(t.spark), "complete")
 
 
 @query("SELECT DISTINCT event_type FROM events")
 def stream_distinct(t):
     rows = _events(t).withWatermark("ts", "60 days").dropDuplicatesWithinWatermark(["event_type"])
-    return S.drain(rows.select("event_type"), _name("distinct"))
+    return S.drain(rows.select("event_type"), scratch(t.spark))
 
 
 @query("SELECT user_id, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY user_id")
 def stream_running_totals(t):
-    rows = S.drain(S.running_totals(_events(t), "user_id", "value"), _name("totals"), "update")
+    rows = S.drain(S.running_totals(_events(t), "user_id", "value"), scratch(t.spark), "update")
     return rows.groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 4).alias("total"))
 
 
 @query("SELECT event_id, c_mktsegment FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase'")
 def stream_static_join(t):
     customer = table(t.spark, t.sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    return S.drain(_events(t).where("event_type = 'purchase'").join(customer, "user_id").select("event_id", "c_mktsegment"), _name("static"))
+    return S.drain(_events(t).where("event_type = 'purchase'").join(customer, "user_id").select("event_id", "c_mktsegment"), scratch(t.spark))
 
 
 @query("""
@@ -59,7 +53,7 @@ def stream_stream_join(t):
     clicks = _events(t).where("event_type = 'click'").withWatermark("ts", "1 hour").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("click"))
     buys = _events(t).where("event_type = 'purchase'").withWatermark("ts", "1 hour").select(F.col("user_id").alias("buyer"), F.col("ts").alias("then"), F.col("event_id").alias("purchase"))
     met = clicks.join(buys, F.expr("user_id = buyer AND then BETWEEN at AND at + INTERVAL 6 HOURS"))
-    return S.drain(met.select("click", "purchase"), _name("join"))
+    return S.drain(met.select("click", "purchase"), scratch(t.spark))
 
 
 @query("SELECT event_id, event_type FROM events WHERE value > 50")

@@ -36,16 +36,21 @@ def running_totals(rows: DataFrame, key: str, value: str) -> DataFrame:
     return rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, n long, total double", "n long, total double", "update", GroupStateTimeout.NoTimeout)
 
 
-def drain(rows: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that a stream of the present files gives, as a table."""
-    run = rows.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    try:
-        run.awaitTermination()
-    finally:
-        run.stop()
-    return rows.sparkSession.table(name)
+def drain(rows: DataFrame, folder: str, mode: str = "append") -> DataFrame:
+    """All that a stream of the present files gives, as a table written to a fresh folder (of complete output the last batch)."""
+    done = {}
 
+    def write(batch: DataFrame, n: int) -> None:
+        done[n] = f"{folder}/{n}"
+        batch.write.mode("overwrite").parquet(done[n])
 
-def each_batch(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    each_batch(rows, write, folder + "-state", mode)
+    numbers = sorted(done)[-1:] if mode == "complete" else sorted(done)
+    if not numbers:
+        return rows.sparkSession.createDataFrame([], rows.schema)
+    return rows.sparkSession.read.schema(rows.schema).parquet(*[done[n] for n in numbers])
+
+
+def each_batch(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
     """Run a stream of the present files through write(batch, number)."""
-    rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rows.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
