@@ -64,3 +64,18 @@ def test_copies_neither_hide_a_language_nor_fill_the_sample(spark, monkeypatch):
     assert len(set(drawn)) == len(drawn)
     assert {x for x in drawn if x[0] == "aa"} == {(k, t) for t, k in rows if k == "aa"}
     assert sum(k == "bb" for k, _ in drawn) == 30
+
+
+def test_frequencies_and_reach_cover_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(L, "SAMPLE", 8)
+    rows = [(t, lang) for lang in WORDS for t in texts(lang, 200, lang + "y")] + [("stone qqq zzz", "aa")] * 3
+    train = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    model = L.fit(train)
+    counts, _ = L.vectors([t for t, _ in rows])
+    idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))) + 1
+    assert np.allclose(model["idf"], idf, atol=1e-5)
+    x = L._weigh(counts, model["idf"])
+    for i, lang in enumerate(model["langs"]):
+        mine = x[[k == lang for _, k in rows]]
+        far = 1 - (mine @ model["centers"][model["owner"] == i].T).max(axis=1)
+        assert abs(model["reach"][i] - L.REJECT_MARGIN - np.quantile(far, L.REJECT_QUANTILE, method="higher")) <= 1 / L.BINS + 1e-5

@@ -7,13 +7,14 @@ language has several centroids, clustered from its training vectors; a text
 gets the language of the centroid nearest by cosine.
 
 A text is rejected when it is further from its centroid than nearly all
-training texts of that language are from theirs (`REJECT_QUANTILE`, plus a
+training rows of that language are from theirs (`REJECT_QUANTILE`, plus a
 margin), or when it has no letter.
 
 Training takes the `SAMPLE` different labelled texts of each language that are
 first by a hash of the text (all where there are fewer), so copies neither crowd
 out other texts nor add rows: one pass over the table to hash the texts, one to
-fetch the sample.  Document frequencies are those of the sample.  The model that is sent to the tasks has at most
+fetch the sample.  The sample gives the centroids only: document frequencies are
+counted over all labelled rows, and so are their distances (to 1 / `BINS`).  The model that is sent to the tasks has at most
 languages * CLUSTERS * DIMENSIONS weights.  Prediction reads every text once,
 whole, without a shuffle.
 
@@ -26,7 +27,6 @@ the same name.
 
 from __future__ import annotations
 
-import io
 from functools import cache
 
 import numpy as np
@@ -44,6 +44,8 @@ CLUSTERS = 4
 #: Different texts of a language that the model is fitted on, at most.
 SAMPLE = 600
 REJECT_QUANTILE, REJECT_MARGIN = 0.999, 0.2
+#: Distances of training rows are counted in steps of 1 / BINS.
+BINS = 1 << 12
 UNKNOWN = "und"
 ADDED = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("distance", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
@@ -140,48 +142,85 @@ def fit(labelled: DataFrame, *, text: str = "text", label: str = "lang") -> dict
     """The model: languages, idf, centroids, each centroid's language, and each language's furthest distance."""
     labelled = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).cast("string").alias("lang"), F.col(text).alias("text"))
     picked = draw(labelled)
-    weight = T.StructType([T.StructField("lang", T.StringType()), T.StructField("df", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("x", T.BinaryType())])
+    idf = _idf(labelled)
+    if idf is None:
+        return {"langs": []}
 
-    def learn(table: pa.Table) -> pa.Table:
-        # a language's sample is bounded; its vectors stay in whole numbers until idf is known
+    def centre(table: pa.Table) -> pa.Table:
         lang = table.column("lang")[0].as_py()
-        texts = table.column("text").to_pylist()
-        rows = []
-        for part in _parts(texts):
+        rows = []  # a language's sample is bounded
+        for part in _parts(table.column("text").to_pylist()):
             counts, has = vectors(part)
-            rows.append(np.minimum(counts[has], 65535).astype(np.uint16))
+            rows.append(_weigh(counts[has], idf))
         x = np.concatenate(rows)
-        buffer = io.BytesIO()
-        np.savez_compressed(buffer, x=x)
-        return pa.table({"lang": [lang], "df": [(x > 0).sum(axis=0).astype("<i8").tobytes()], "n": [len(x)], "x": [buffer.getvalue()]}, schema=pa.schema([("lang", pa.string()), ("df", pa.binary()), ("n", pa.int64()), ("x", pa.binary())]))
-
-    sample = picked.groupBy("lang").applyInArrow(learn, weight)
-    sample = stored(sample, "language-sample")
-    totals = sample.select("df", "n").collect()  # DIMENSIONS numbers per language
-    if not totals or not sum(r.n for r in totals):
-        return {"langs": []}
-    df = np.sum([np.frombuffer(r.df, "<i8") for r in totals], axis=0)
-    idf = (np.log((1 + sum(r.n for r in totals)) / (1 + df)) + 1).astype(np.float32)
+        centers = [_cluster(x, CLUSTERS).astype("<f4").tobytes()] if len(x) else []
+        return pa.table({"lang": [lang] * len(centers), "centers": centers}, schema=pa.schema([("lang", pa.string()), ("centers", pa.binary())]))
 
-    def centre(table: pa.Table) -> pa.Table:
-        lang = table.column("lang")[0].as_py()
-        counts = np.load(io.BytesIO(table.column("x")[0].as_py()))["x"].astype(np.float32)
-        if not len(counts):
-            return pa.table({"lang": pa.array([], pa.string()), "centers": pa.array([], pa.binary()), "reach": pa.array([], pa.float64())})
-        x = _weigh(counts, idf)
-        centers = _cluster(x, CLUSTERS)
-        reach = float(np.quantile(1 - (x @ centers.T).max(axis=1), REJECT_QUANTILE)) + REJECT_MARGIN
-        return pa.table({"lang": [lang], "centers": [centers.astype("<f4").tobytes()], "reach": [reach]}, schema=pa.schema([("lang", pa.string()), ("centers", pa.binary()), ("reach", pa.float64())]))
-
-    found = sorted(sample.groupBy("lang").applyInArrow(centre, "lang string, centers binary, reach double").collect(), key=lambda r: r.lang)
+    found = sorted(picked.groupBy("lang").applyInArrow(centre, "lang string, centers binary").collect(), key=lambda r: r.lang)
+    if not found:
+        return {"langs": []}
     parts = [np.frombuffer(r.centers, "<f4").reshape(-1, DIMENSIONS) for r in found]
-    return {
+    model = {
         "langs": [r.lang for r in found],
         "idf": idf,
         "centers": np.concatenate(parts),
         "owner": np.repeat(np.arange(len(parts)), [len(p) for p in parts]),
-        "reach": np.array([r.reach for r in found]),
     }
+    return model | {"reach": _reach(labelled, model)}
+
+
+def _idf(labelled: DataFrame) -> np.ndarray | None:
+    """Inverse document frequency of each dimension over all rows with a letter; None where there are none."""
+
+    def run(batches):
+        df, n = np.zeros(DIMENSIONS, np.int64), 0
+        for batch in batches:
+            for part in _parts(batch.column("text").to_pylist()):
+                counts, has = vectors(part)
+                df += (counts[has] > 0).sum(axis=0)
+                n += int(has.sum())
+        tokens.release()
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))], names=["at", "n"])
+
+    counted = labelled.select("text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    found = dict(map(tuple, counted.collect()))  # at most DIMENSIONS + 1 rows
+    n = found.pop(-1, 0)
+    if not n:
+        return None
+    df = np.zeros(DIMENSIONS)
+    df[list(found)] = list(found.values())
+    return (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
+
+
+def _reach(labelled: DataFrame, model: dict) -> np.ndarray:
+    """Per language the distance that REJECT_QUANTILE of its rows keep to its nearest centroid, and the margin."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = shared.value
+        index = {lang: i for i, lang in enumerate(m["langs"])}
+        for batch in batches:
+            langs = np.array([index.get(x, -1) for x in batch.column("lang").to_pylist()], dtype=np.int64)
+            first = 0
+            for part in _parts(batch.column("text").to_pylist()):
+                counts, has = vectors(part)
+                who = langs[first : first + len(part)]
+                cosine = np.where(m["owner"] == who[:, None], _weigh(counts, m["idf"]) @ m["centers"].T, -1)
+                step = np.ceil(np.clip(1 - cosine.max(axis=1), 0, 1) * BINS).astype(np.int64)
+                known = has & (who >= 0)
+                keys, n = np.unique(who[known] * (BINS + 1) + step[known], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys // (BINS + 1)), pa.array(keys % (BINS + 1)), pa.array(n)], names=["who", "step", "n"])
+                first += len(part)
+        tokens.release()
+
+    counted = labelled.select("lang", "text").mapInArrow(run, "who long, step long, n long").groupBy("who", "step").agg(F.sum("n").alias("n"))
+    each = Window.partitionBy("who")  # at most BINS + 1 rows per language
+    counted = counted.withColumn("upto", F.sum("n").over(each.orderBy("step"))).withColumn("all", F.sum("n").over(each))
+    reach = np.ones(len(model["langs"]))
+    for who, step in counted.where(F.col("upto") >= F.ceil((F.col("all") - 1) * REJECT_QUANTILE) + 1).groupBy("who").agg(F.min("step")).collect():
+        reach[who] = step / BINS
+    return reach + REJECT_MARGIN
 
 
 def _parts(texts: list[str], rows: int = 128, chars: int = 1 << 19):
