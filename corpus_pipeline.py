@@ -8,14 +8,20 @@ to the shared folder and read again.
 2. language: documents whose language cannot be told go; a missing lang is
    filled in with the prediction.
 3. near_duplicates: of each group of documents linked by at least 0.8 of their
-   five-word shingles, the one of the smallest doc_id stays.
+   five-word shingles, the row of the smallest doc_id stays.
 4. mixing: documents are put in the order of the Pfair schedule of sources.
 5. packing: documents become pieces of token ids, placed in sequences.  Each
    stretch of the order in which they stand is packed on its own, and
    sequence_id follows the stretches.
 
-Rows of the same doc_id and text are one document from stage 3 on; rows without
-a doc_id are compared by text only there.
+Defined cases: rows, not ids, go: another text under the id of a row that goes
+stays.  Of rows of equal doc_id and words one stays from stage 3 on; rows without
+a doc_id follow the same rule and come last in their group.  A null or empty text
+is rejected by stage 1.  Ties are broken by set hashes (stage 3), by md5 of the id
+(stage 4) and by place (stage 5).  A null lang is filled in, a null source is a
+source of its own.  Texts are taken whole, however long; a task holds one text
+and a few times its size.  Columns beyond those of documents pass through all
+stages but the last, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,40 +33,50 @@ from pyspark.sql import functions as F
 from tidewrack.llm.common import stored
 from tidewrack.llm.language import fit, predict, train_rows
 from tidewrack.llm.mixing import mix_sources
-from tidewrack.llm.ngram_join import SENT_KEYS, jaccard_components
+from tidewrack.llm.ngram_join import one_per_group
 from tidewrack.llm.packing import pack, tokenize
 from tidewrack.llm.quality import clean_lines
 
 SHINGLE, PERCENT = 5, 80
 
 
+def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, str]:
+    """docs with the columns `used` as they are and all others in one, under a name that no column has.
+
+    So no column of docs has the name of one that an operator adds.
+    """
+    rest = "_rest"
+    while rest.lower() in [c.lower() for c in docs.columns]:
+        rest += "_"
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in used]
+    return docs.select(*used, F.struct(F.lit(0).alias("_"), *others).alias(rest)), rest
+
+
+def _whole(kept: DataFrame, docs: DataFrame, rest: str, *used: str) -> DataFrame:
+    """The columns of docs again."""
+    return kept.select([F.col(c) if c in used else F.col(f"{rest}.`{c}`") for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = clean_lines(docs).where("kept")
-    kept = kept.withColumn("text", F.col("clean_text")).withColumn("n_chars", F.length("clean_text").cast("long"))
-    return kept.select(docs.columns)
+    narrow, rest = _apart(docs, "text")
+    kept = clean_lines(narrow).where("kept").select(rest, F.col("clean_text").alias("text"), F.length("clean_text").cast("long").alias("n_chars"))
+    return _whole(kept, docs, rest, "text", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = predict(docs, fit(train_rows(docs))).where(~F.col("rejected"))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+    narrow, rest = _apart(docs, "text", "lang")
+    kept = predict(narrow, fit(train_rows(docs))).where(~F.col("rejected")).withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return _whole(kept, docs, rest, "text", "lang")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = jaccard_components(docs, k=SHINGLE, percent=PERCENT)
-    gone = stored(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    side = F.broadcast(gone) if gone.count() <= SENT_KEYS else gone
-    kept = docs.join(side, docs["doc_id"] == F.col("_gone"), "left_anti")
-    # ids that stand at several rows: of equal texts one stays
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_again"))
-    again = stored(again, "again")
-    if again.isEmpty():
-        return kept
-    same = docs["doc_id"].eqNullSafe(F.col("_again"))
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    narrow, rest = _apart(docs, "doc_id", "text")
+    return _whole(one_per_group(narrow, k=SHINGLE, percent=PERCENT), docs, rest, "doc_id", "text")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_sources(docs).orderBy("mix_position").select(docs.columns)
+    narrow, rest = _apart(docs, "doc_id", "source")
+    return _whole(mix_sources(narrow).orderBy("mix_position"), docs, rest, "doc_id", "source")
 
 
 def _numbered(docs: DataFrame) -> DataFrame:

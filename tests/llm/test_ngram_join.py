@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidewrack.llm import ngram_join as J
@@ -68,7 +69,6 @@ def test_odd_rows(spark):
 def test_near_copies_and_shared_passages(spark, monkeypatch, group):
     monkeypatch.setattr(J, "GROUP_NODES", group)
     monkeypatch.setattr(J, "SET_NODES", group)
-    monkeypatch.setattr(J, "LEAST_COMMON", 10)
     r = random.Random(4)
     word = lambda: f"w{r.randrange(5000)}"
     base = [word() for _ in range(120)]
@@ -83,6 +83,47 @@ def test_near_copies_and_shared_passages(spark, monkeypatch, group):
         assert got(spark, rows, percent=percent, k=k) == brute(rows, k, percent)
 
 
+def sizes_of_sets(r):
+    for n in (1, 3, 5, 6, 7, 9, 12, 20, 21, 33, 60, 140, 500, 3000):
+        for _ in range(6):
+            yield n + r.randrange(1 + n // 5)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85, 95])
+def test_alike_sets_share_a_part(percent):
+    """At the threshold exactly: as many shingles differ as may, taken from either side."""
+    r = random.Random(percent)
+    for n in sizes_of_sets(r):
+        for _ in range(4):
+            a = {r.getrandbits(64) for _ in range(n)}
+            b = set(a)
+            while True:
+                c = set(b)
+                if r.random() < 0.6 and len(c) > 1:
+                    c.remove(r.choice(sorted(c)))
+                else:
+                    c.add(r.getrandbits(64))
+                if 100 * len(a & c) < percent * len(a | c):
+                    break
+                b = c
+            if a == b:
+                continue
+            h = np.array(sorted(a) + sorted(b), np.uint64)
+            sig, owner = J.part_signatures(h, np.array([0, len(a), len(a) + len(b)]), percent)
+            assert set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist()), (n, len(a), len(b))
+
+
+def test_parts_of_texts_that_share_a_passage_do_not_meet():
+    r = random.Random(2)
+    passage = [r.getrandbits(64) for _ in range(50)]
+    met = 0
+    for _ in range(200):
+        a, b = (sorted({*passage, *(r.getrandbits(64) for _ in range(r.randrange(150, 600)))}) for _ in range(2))
+        sig, owner = J.part_signatures(np.array(a + b, np.uint64), np.array([0, len(a), len(a) + len(b)]), 85)
+        met += bool(set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist()))
+    assert met <= 4
+
+
 def test_tree_loses_no_pair(monkeypatch):
     monkeypatch.setattr(S, "WINDOW", 256)
     r = random.Random(1)

@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import corpus_pipeline as P
@@ -57,6 +58,43 @@ def test_repeated_null_and_empty_rows(spark):
                 break
 
 
+def words(n, seed):
+    r = random.Random(seed)
+    return " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+
+
+def test_rows_go_not_ids(spark):
+    a, b, c = words(80, 1), words(80, 2), words(80, 3)
+    near = a + " and a little more"
+    rows = [(3, a), (5, near), (5, b), (None, near), (None, c), (None, c), (7, ""), (7, ""), (8, c + " x"), (9, b), (9, b), (5, b)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = sorted(((r.doc_id, r.text) for r in P.near_duplicates(spark, docs, "").collect()), key=str)
+    assert left == sorted([(3, a), (5, b), (7, ""), (7, ""), (8, c + " x")], key=str)
+
+
+CLASHES = ["weight", "block", "slot", "mix_position", "n_words", "lost", "kept", "clean_text", "score", "rejected", "lang_pred", "key", "n", "s1", "component", "_near_key", "_near_at", "_mix_src", "Score", "_rest", "a.b", "_group", "_position", "sequence_id", "piece"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40)
+    names = [c for c in CLASHES if c != "Score"]
+    docs = base.select("*", *[F.concat(F.lit(c), F.col("doc_id")).alias(c) for c in names])
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"{c}{r.doc_id}" for r in got for c in names), name
+        docs = spark.createDataFrame(got, docs.schema)
+    assert P.packing(spark, docs, "").count()
+
+
+def test_mixing_shuffles_texts_once_and_sorts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = P.mixing(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in plan.splitlines() if "Exchange" in x and "_rest" in x]
+    assert len(wide) <= 2
+
+
 def test_sequences_follow_the_mixed_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(K, "GROUP_PIECES", 1000)
     n, first = {"a": 3600, "b": 1600, "c": 400}, {"a": 0, "b": 10**5, "c": 10**6}

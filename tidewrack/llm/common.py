@@ -51,6 +51,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def key_filter(rows: DataFrame, hashed: Column, words: int = 1 << 19):
+    """A test for arrays of hashes: False only where no row has that value of `hashed` (a long).
+
+    A bitmap of `words` * 64 places, 4 MB, whatever the number of rows: few rows
+    leave few false answers, and with very many it lets all through.  So it may
+    only spare work, and an exact join must follow.
+    """
+    import numpy as np
+
+    found = rows.select(F.pmod(hashed, F.lit(words * 64)).alias("place"))
+    found = found.groupBy(F.expr("cast(place div 64 AS int)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 AS int)))"))
+    bitmap = np.zeros(words, np.int64)
+    for word, bits in found.collect():  # at most `words` rows
+        bitmap[word] = bits
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    def test(values):
+        place = values % (words * 64)
+        return (shared.value[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1) == 1
+
+    return test
+
+
 def crc_bucket_sql(column: str, modulus: int) -> str:
     """crc_bucket in DuckDB's SQL, which has no crc32: bit by bit over the decimal digits."""
     digits = f"list_transform(range(1, len(CAST({column} AS VARCHAR)) + 1), lambda i: CAST(ord(substr(CAST({column} AS VARCHAR), CAST(i AS INT), 1)) AS BIGINT))"

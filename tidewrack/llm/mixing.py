@@ -104,16 +104,11 @@ def mix_sources(
     sizes = rows.groupBy(F.col("_mix_src").alias("src"), F.col("_mix_bucket").alias("bucket")).agg(F.count("*").alias("n"))
     plan = schedule(sizes.groupBy("src").agg(F.sum("n").alias("n")), weights, resolution, temperature)
     totals = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = sizes.select("src", "bucket", F.coalesce(F.sum("n").over(totals), F.lit(0)).alias("before"))
+    buckets = sizes.select("src", "bucket", "n", F.coalesce(F.sum("n").over(totals), F.lit(0)).alias("before"))
     buckets = buckets.join(plan.where("turn = 0").select("src", "weight"), "src").select(
-        F.col("src").alias("_mix_src"), F.col("bucket").alias("_mix_bucket"), F.col("before").alias("_mix_before"), F.col("weight").alias("_mix_weight")
+        F.col("src").alias("_mix_src"), F.col("bucket").alias("_mix_bucket"), F.col("n").alias("_mix_rows"), F.col("before").alias("_mix_before"), F.col("weight").alias("_mix_weight")
     )
 
-    number = F.row_number().over(Window.partitionBy("_mix_src", "_mix_bucket").orderBy("_mix_digest", key)) - 1
-    rows = rows.withColumn("_mix_number", number).join(buckets, ["_mix_src", "_mix_bucket"])
-    rows = rows.withColumn("_mix_number", F.col("_mix_number") + F.col("_mix_before"))
-    rows = rows.withColumn("_mix_block", F.floor(F.col("_mix_number") / block_rows))
-
     # rows before each slot: running sums within stretches of slots, plus the stretches before
     blocks = sizes.groupBy("src").agg(F.sum("n").alias("n")).join(plan.where("turn = 0").select("src", "weight", "period"), "src")
     blocks = blocks.select(
@@ -132,19 +127,28 @@ def mix_sources(
     stretches = stretches.select("stretch", F.coalesce(F.sum("rows").over(Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     inside = F.coalesce(F.sum("rows").over(Window.partitionBy("stretch").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = blocks.withColumn("inside", inside).join(stretches, "stretch")
-    blocks = blocks.select(
-        F.col("src").alias("_mix_src"), F.col("block").alias("_mix_block"), "slot", "release", "deadline", (F.col("ahead") + F.col("inside")).alias("_mix_first")
-    )
+    blocks = blocks.select("src", "block", F.struct("slot", "release", "deadline", (F.col("ahead") + F.col("inside")).alias("first")).alias("place"))
+
+    # the blocks that each bucket's rows fall in, so that rows are shuffled once, by bucket
+    spans = buckets.withColumn("first_block", F.floor(F.col("_mix_before") / block_rows))
+    last = F.floor((F.col("_mix_before") + F.col("_mix_rows") - 1) / block_rows)
+    spans = spans.withColumn("_mix_block", F.explode(F.sequence("first_block", last)))
+    spans = spans.join(blocks, (F.col("src") == F.col("_mix_src")) & (F.col("block") == F.col("_mix_block")))
+    spans = spans.groupBy("_mix_src", "_mix_bucket", "_mix_before", "_mix_weight").agg(F.sort_array(F.collect_list(F.struct("block", "place"))).alias("_mix_places"))
 
-    rows = rows.join(blocks, ["_mix_src", "_mix_block"])
+    number = F.row_number().over(Window.partitionBy("_mix_src", "_mix_bucket").orderBy("_mix_digest", key)) - 1
+    rows = rows.withColumn("_mix_number", number).join(spans, ["_mix_src", "_mix_bucket"])
+    rows = rows.withColumn("_mix_number", F.col("_mix_number") + F.col("_mix_before"))
+    block = F.floor(F.col("_mix_number") / block_rows)
+    rows = rows.withColumn("_mix_block", block).withColumn("_mix_at", F.get("_mix_places", (block - F.floor(F.col("_mix_before") / block_rows)).cast("int"))["place"])
     return rows.select(
         *kept,
         F.col("_mix_weight").cast("int").alias("weight"),
         F.col("_mix_block").cast("long").alias("block"),
-        F.col("release").cast("long").alias("release"),
-        F.col("deadline").cast("long").alias("deadline"),
-        F.col("slot").cast("long").alias("slot"),
-        (F.col("_mix_first") + F.col("_mix_number") % block_rows).cast("long").alias("mix_position"),
+        F.col("_mix_at.release").cast("long").alias("release"),
+        F.col("_mix_at.deadline").cast("long").alias("deadline"),
+        F.col("_mix_at.slot").cast("long").alias("slot"),
+        (F.col("_mix_at.first") + F.col("_mix_number") % block_rows).cast("long").alias("mix_position"),
     )
 
 

@@ -2,57 +2,66 @@
 
 Documents with equal sets are one node; all work is on nodes.
 
-1. Shingles that over `COMMON_SHARE` of the documents hold are found, so that
-   the order of shingles below can put them last.  The list has at most (mean
-   shingles per document) / COMMON_SHARE entries and changes speed only.
-2. One pass over the texts gives each document's set hash, its bitmap, three
-   minima of its shingle hashes, and its prefix: the first size -
-   ceil(size * percent / 100) + 1 shingles in the order (common, hash), with the
-   common ones apart.  Two sets over the threshold always share a shingle of
-   both prefixes.
-3. Nodes that share a minimum are compared by whole sets, in groups of bounded
-   size, by a signature tree; nodes already linked to one another are not
+1. One pass over the texts gives each document's set hash, its bitmap, and
+   `BANDS` pairs of minima of its shingle hashes.
+2. Nodes that share a pair of minima are compared by whole sets, in groups of
+   bounded size, by a signature tree; nodes already linked to one another are not
    compared again, so a group of near copies costs little more than its size.
-4. Prefix shingles that still join two components are the candidates left: of
-   common ones, counts are added up first and few keys sent to all tasks; the
-   others, none of which many documents hold, meet in one shuffle.
-   Their nodes meet by bitmap in a signature tree, again only across
-   components; groups too large for a task are met in pairs of chunks.  Pairs
-   that may be similar, and that met in as many groups as similar sets must,
-   are then compared by whole sets.
+3. Parts of sets meet.  Sets of similar size that are alike differ in at most K
+   shingles (K follows from the sizes and the threshold).  The range of shingle
+   hashes is cut into over K parts, so at least one part of both is the same; a
+   part's signature is a hash of all shingles in it.  A part holds several
+   shingles, so documents that share just a passage, a line or a few frequent
+   shingles do not meet, however many they are, and no frequencies are needed.
+4. Nodes of different components that share a part are the candidates left.
+   They meet by bitmap in a signature tree, again only across components;
+   groups too large for a task are met in pairs of chunks.  Pairs that may be
+   similar are then compared by whole sets.
 5. Components of all links.
 
-Step 3 is a short cut; steps 4 and 5 would find the same components without it.
+Step 2 is a short cut; steps 3 to 5 would find the same components without it.
 Sets are compared by 64-bit shingle hashes, nodes by 128 bits.
 
+Parts (step 3).  Sizes are cut into intervals; a set emits the parts of its own
+interval, and of the interval before it if a set in there may be alike.  With r
+the upper end of the interval, two alike sets, the smaller in it, differ in at
+most K = (r + r * 100 / percent) * (100 - percent) / (100 + percent) shingles.
+Empty parts are not emitted: a set with over K parts that are not empty has
+one that is as in the other set.  For the few sets with fewer, single shingles
+of a prefix in the order of hashes are emitted besides, under a mark of their
+own, which any two such sets share.  Sets so small that K is 0 have no partner.
+
 Defined cases: a text without words, or null, has an empty set, is linked with
 nothing and is its own component; a text of fewer words than a shingle has one
 shingle, all its words; rows of equal texts are one node whatever their ids; a
-component's id is its smallest non-null document id; an empty table gives an
-empty result; other columns are not carried.
+component's id is its smallest non-null document id (null if it has none); an
+empty table gives an empty result; other columns are not carried, so their names
+do not matter.  A text's set is held whole by a task (8 bytes a word), however
+long.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import signature_tree as S
 from . import tokens
-from .common import stored
+from .common import key_filter, stored
 from .components import components
 
-COMMON_SHARE, LEAST_COMMON = 0.001, 64
-MINIMA = 3
-#: Nodes compared in one group: a larger one is met in pairs of chunks (step 4), or cut, differently for each minimum (step 3).
+#: Pairs of minima of each set.
+BANDS = 3
+#: Nodes compared in one group: a larger one is met in pairs of chunks (step 4), or cut, differently for each pair of minima (step 2).
 GROUP_NODES, SET_NODES = 2048, 4096
-#: Keys sent to every task when fetching some documents' texts, at most; beyond, both sides are shuffled.
-SENT_KEYS = 500_000
-_SEEDS = [np.uint64(x) for x in (0, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+#: Upper end of an interval of sizes by its lower end, at least.
+INTERVAL = 1.4
+_SEEDS = [np.uint64(x) for x in (0, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
 def _sets(batches, text: str, k: int):
@@ -67,49 +76,27 @@ def _sets(batches, text: str, k: int):
     tokens.release()
 
 
-def common_shingles(docs: DataFrame, text: str, k: int) -> np.ndarray:
-    """Hashes of shingles that many documents hold, sorted."""
-
-    def count(batches):
-        keys, counts, docs_seen = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        for part, hashes, _, _ in _sets(batches, text, k):
-            docs_seen += part.num_rows
-            both = np.concatenate([keys, hashes])
-            weight = np.concatenate([counts, np.ones(len(hashes), np.int64)])
-            order = np.argsort(both)
-            both, weight = both[order], weight[order]
-            if len(both):
-                first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
-                keys, counts = both[first], np.add.reduceat(weight, first)
-            if len(keys) > 1_000_000:  # shingles met once so far are not common ones
-                keys, counts = keys[counts > 1], counts[counts > 1]
-        often = counts >= max(4, COMMON_SHARE * docs_seen)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[often].view(np.int64)), pa.array(counts[often])], names=["h", "n"])
-
-    least = max(LEAST_COMMON, int(COMMON_SHARE * docs.count()))
-    found = docs.select(text).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return np.sort(np.array([r.h for r in found.select("h").collect()], dtype=np.int64).view(np.uint64))
+def _set_hash(h: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each document's set, 0 for an empty one."""
+    out = np.zeros(len(at) - 1, np.uint64)
+    has = np.flatnonzero(np.diff(at))
+    if len(has):
+        out[has] = np.add.reduceat(tokens.mix(h ^ _SEEDS[seed]), at[:-1][has])
+    return out
 
 
-def describe(docs: DataFrame, key: str, text: str, k: int, percent: int, common: np.ndarray) -> DataFrame:
-    """key, n, s1, s2 (hash of the set), minima, bits, and the prefix in its rare and common shingles, of each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+def describe(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """key, n, s1, s2 (hash of the set), bands (hashes of pairs of minima) and bits of each document."""
 
     def run(batches):
-        common = shared.value
         for part, h, owner, at in _sets(batches, text, k):
             n = np.diff(at)
             has = np.flatnonzero(n)
             first = at[:-1][has]
-            per = {}
-            for name, seed in zip(("s1", "s2"), _SEEDS[:2]):
-                per[name] = np.zeros(len(n), np.uint64)
-                if len(has):
-                    per[name][has] = np.add.reduceat(tokens.mix(h ^ seed), first)
-            minima = np.zeros((len(n), MINIMA), np.uint64)
-            for j in range(MINIMA):
-                if len(has):
-                    minima[has, j] = tokens.mix(np.minimum.reduceat(h if j == 0 else tokens.mix(h ^ _SEEDS[j + 1]), first) + np.uint64(j))
+            bands = np.zeros((len(n), BANDS), np.uint64)
+            for j in range(2 * BANDS if len(has) else 0):
+                least = np.minimum.reduceat(h if j == 0 else tokens.mix(h ^ _SEEDS[j]), first)
+                bands[has, j // 2] = tokens.mix(bands[has, j // 2] * tokens._BASE + least + np.uint64(j))
             # bitmaps, side by side
             width = np.array([S.width_of(x) for x in n.tolist()], dtype=np.int64)
             place = np.concatenate([[0], np.cumsum(np.minimum(width, S.WINDOW))]).astype(np.int64)
@@ -118,50 +105,125 @@ def describe(docs: DataFrame, key: str, text: str, k: int, percent: int, common:
             near = bit < S.WINDOW
             flags[place[owner[near]] + bit[near]] = True
             bits = np.packbits(flags, bitorder="little")
-            # the order of shingles: common ones last
-            late = np.zeros(len(h), dtype=bool)
-            if len(common) and len(h):
-                late = common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
-            order = np.lexsort((h, late, owner)) if late.any() else np.arange(len(h))
-            reach = n - -(-n * percent // 100) + 1
-            reach[n == 0] = 0
-            picked = order[np.arange(len(h)) - np.repeat(at[:-1], n) < np.repeat(reach, n)]
-            rare, often = picked[~late[picked]], picked[late[picked]]
-            listed = lambda values, counts, kind: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values, kind))
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(key), pa.array(n), pa.array(per["s1"].view(np.int64)), pa.array(per["s2"].view(np.int64)),
-                    listed(minima.ravel().view(np.int64), np.full(len(n), MINIMA), pa.int64()),
+                    part.column(key), pa.array(n), *(pa.array(_set_hash(h, at, i).view(np.int64)) for i in (0, 1)), listed,
                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((place // 8).astype(np.int32)), pa.py_buffer(bits)]),
-                    *(listed(h[x].view(np.int64), np.bincount(owner[x], minlength=len(n)), pa.int64()) for x in (rare, often)),
                 ],
-                names=["key", "n", "s1", "s2", "minima", "bits", "rare", "often"],
+                names=["key", "n", "s1", "s2", "bands", "bits"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, minima array<long>, bits binary, rare array<long>, often array<long>")
+    return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, bands array<long>, bits binary")
+
+
+@cache
+def intervals(most: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each interval of sizes up to `most`: upper end, largest size of a partner, and K (see above)."""
+    ends, low = [], 1
+    while not ends or ends[-1] < most:
+        ends.append(max(int(INTERVAL * low), 100 * low // percent))
+        low = ends[-1] + 1
+    end = np.array(ends, dtype=np.int64)
+    partner = 100 * end // percent
+    return end, partner, (end + partner) * (100 - percent) // (100 + percent)
+
+
+def part_signatures(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of documents' parts, and each one's document; h is sorted within documents."""
+    n = np.diff(at)
+    end, partner, most = intervals(int(n.max(initial=1)), percent)
+    own = np.searchsorted(end, n)
+    scrambled = tokens.mix(h ^ _SEEDS[3])
+    out, owners = [], []
+    for which, before in ((own, n > 0), (own - 1, (own > 0) & (n <= partner[own - 1]))):
+        docs = np.flatnonzero(before & (most[which] > 0))
+        if not len(docs):
+            continue
+        size = n[docs]
+        token = np.repeat(at[:-1][docs] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        doc = np.repeat(np.arange(len(docs)), size)
+        differ = most[which[docs]]
+        parts = (differ + 2 + differ // 16).astype(np.uint64)
+        part = ((h[token] >> np.uint64(32)) * parts[doc]) >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])]))
+        mark = tokens.mix((which[docs].astype(np.uint64) + np.uint64(1)) * tokens._BASE)
+        out.append(tokens.mix(np.add.reduceat(scrambled[token], first) + tokens.mix(mark[doc[first]] + part[first])))
+        owners.append(docs[doc[first]])
+        few = np.flatnonzero(np.bincount(doc[first], minlength=len(docs)) <= differ)
+        if len(few):
+            reach = size[few] + (-size[few] * percent // 100) + 1
+            token = np.repeat(at[:-1][docs[few]] - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
+            doc = np.repeat(few, reach)
+            out.append(tokens.mix(scrambled[token] ^ tokens.mix(~mark[doc])))
+            owners.append(docs[doc])
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(out), np.concatenate(owners)
+
+
+def shared_parts(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
+    """sig, s1: the parts that different sets share, and the sets (by hash) that hold them."""
+
+    def emit(batches):
+        seen: set[int] = set()  # hashes of sets that this task has met: copies within it are sent once
+        for _, h, _, at in _sets(batches, text, k):
+            s1 = _set_hash(h, at, 0)
+            fresh = np.ones(len(s1), dtype=bool)
+            for i, s in enumerate(s1.tolist()):
+                fresh[i] = s not in seen
+                seen.add(s)
+            sig, owner = part_signatures(h, at, percent)
+            keep = fresh[owner]
+            yield pa.RecordBatch.from_arrays([pa.array(sig[keep].view(np.int64)), pa.array(s1[owner[keep]].view(np.int64))], names=["sig", "s1"])
+
+    def meet(batches):
+        """Of rows sorted by sig, the runs that hold different sets; a run may go on in the next batch."""
+        rest = np.zeros((2, 0), np.int64)
+        schema = pa.schema([("sig", pa.int64()), ("s1", pa.int64())])
+
+        def runs(rows):
+            if not rows.shape[1]:
+                return None
+            first = np.flatnonzero(np.concatenate([[True], rows[0, 1:] != rows[0, :-1]]))
+            several = np.minimum.reduceat(rows[1], first) != np.maximum.reduceat(rows[1], first)
+            keep = np.repeat(several, np.diff(np.append(first, rows.shape[1])))
+            return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows], schema=schema)
+
+        for batch in batches:
+            rows = np.concatenate([rest, np.stack([batch.column(c).to_numpy() for c in ("sig", "s1")])], axis=1)
+            cut = int(np.searchsorted(rows[0], rows[0, -1])) if rows.shape[1] else 0
+            if cut:
+                yield runs(rows[:, :cut])
+            rest = rows[:, cut:]
+        if (last := runs(rest)) is not None:
+            yield last
+
+    parts = docs.select(text).mapInArrow(emit, "sig long, s1 long")
+    return parts.repartition("sig").sortWithinPartitions("sig").mapInArrow(meet, "sig long, s1 long")
 
 
 def whole_sets(docs: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> DataFrame:
-    """The columns of nodes(node, key, s1, others) but key and s1, n, and shingles (sorted hashes), from the text of one of each node's documents."""
-    carried = [f for f in nodes.schema.fields if f.name not in ("key", "s1")]
-    names = [f.name for f in carried]
-    nodes = nodes.select(*names, F.col("key").alias("_key"), "s1")
-    side = F.broadcast(nodes) if nodes.count() <= SENT_KEYS else nodes
-    rows = docs.select(F.col(key).alias("_own"), F.col(text).alias("text")).join(side, F.col("_own").eqNullSafe(F.col("_key"))).select(*names, "s1", "text")
+    """The columns of nodes(node, key, s1, others) but key and s1, n, and shingles (sorted hashes), from the text of one of each node's documents.
+
+    Texts that no node may need are passed over before they are split (see
+    `key_filter`), and what is shuffled is the sets of the others.
+    """
+    names = [f.name for f in nodes.schema.fields if f.name not in ("key", "s1")]
+    wanted = key_filter(nodes, F.xxhash64("key"))
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for part, h, _, at in _sets(batches, "text", k):
-            n = np.diff(at)
-            s1 = np.zeros(len(n), np.uint64)
-            has = np.flatnonzero(n)
-            if len(has):
-                s1[has] = np.add.reduceat(tokens.mix(h ^ _SEEDS[0]), at[:-1][has])
-            own = s1.view(np.int64) == part.column("s1").to_numpy()  # an id may stand at another text, too
-            sets = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((at * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(h))])
-            yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(n), sets], names=[*names, "n", "shingles"]).filter(pa.array(own))
+        some = (b.filter(pa.array(wanted(b.column("_at").to_numpy()))) for b in batches)
+        for part, h, _, at in _sets(some, "text", k):
+            sets = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(h))])
+            yield pa.RecordBatch.from_arrays([part.column("_own"), pa.array(_set_hash(h, at, 0).view(np.int64)), pa.array(np.diff(at)), sets], names=["_own", "_s1", "n", "shingles"])
 
-    return rows.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in carried), "n long, shingles binary"]))
+    rows = docs.select(F.col(key).alias("_own"), F.col(text).alias("text"), F.xxhash64(key).alias("_at"))
+    rows = rows.mapInArrow(run, f"_own {kind}, _s1 long, n long, shingles binary")
+    # an id may stand at another text, too
+    return nodes.join(rows, F.col("_own").eqNullSafe(F.col("key")) & (F.col("_s1") == F.col("s1"))).select(*names, "n", "shingles")
 
 
 def _groups(batches, column: str = "g"):
@@ -248,21 +310,16 @@ def link_by_sets(rows: DataFrame, percent: int) -> DataFrame:
 def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b of nodes of different components that may be similar, from groups g of node, n, component, bits, side, cross.
 
-    A group holds the nodes that share one prefix shingle.  Of two similar sets
-    with smaller size x and larger y, that share at least t shingles, all but
-    ceil(y * percent / 100) - 1 of the larger one lie in its prefix or beyond
-    the other's, so they share t - ceil(y * percent / 100) + 1 prefix shingles
-    at least: that many groups must have met the pair.
+    A group holds the nodes that share a part.
     """
 
     def run(batches):
-        met: Counter = Counter()
+        met: set[tuple] = set()
 
         def flush():
-            keys = list(met)
-            columns = [pa.array(x, pa.int64()) for x in (*zip(*keys), met.values())]
+            columns = [pa.array(x, pa.int64()) for x in zip(*met)]
             met.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "na", "nb", "groups"])
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
         for group in _groups(batches):
             comps = group.column("component").to_pylist()
@@ -271,12 +328,7 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
             nodes, sizes, bits = (group.column(c).to_pylist() for c in ("node", "n", "bits"))
             sides, cross = group.column("side").to_pylist(), group.column("cross")[0].as_py()
             leaves = [S.leaf(i, n, int.from_bytes(x, "little"), S.width_of(n), c) for i, (n, x, c) in enumerate(zip(sizes, bits, comps))]
-
-            def visit(i, j):
-                if nodes[i] > nodes[j]:
-                    i, j = j, i
-                met[nodes[i], nodes[j], sizes[i], sizes[j]] += 1
-
+            visit = lambda i, j: met.add((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))  # noqa: B023, E731
             apart = lambda p, q: p.classes is None or p.classes != q.classes
             if cross:
                 halves = [[x for x in leaves if sides[x.item] == s] for s in sorted(set(sides))]
@@ -290,69 +342,108 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
         if met:
             yield flush()
 
-    met = rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long, na long, nb long, groups long")
-    met = met.groupBy("a", "b", "na", "nb").agg(F.sum("groups").alias("groups"))
-    least = f"(na + nb) * {percent} + {99 + percent}) div {100 + percent} - (greatest(na, nb) * {percent} + 99) div 100 + 1"
-    return met.where(F.expr(f"groups >= ({least}")).select("a", "b")
+    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
-    """key, n_shingles, component_id of every row of docs."""
-    info = stored(describe(docs, key, text, k, percent, common_shingles(docs, text, k)), "documents")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose sets (node, n, shingles) are alike."""
+    one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+
+    def compare(batches):
+        for batch in batches:
+            same = []
+            for x, y in zip(batch.column("sa"), batch.column("sb")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                same.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
+
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+
+
+def membership(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """Each row's key, n, s1, s2; and of each different set s1, s2, n, its smallest key, and component (a number)."""
+    info = stored(describe(docs, key, text, k), "documents")
     groups = info.where("n > 0").groupBy("s1", "s2", "n")
-    nodes = groups.agg(F.min("key").alias("key"), F.first("minima").alias("minima"), *(F.first(c).alias(c) for c in ("bits", "rare", "often")))
+    nodes = groups.agg(F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    # step 3: nodes that share a minimum
-    minima = nodes.select("node", F.explode("minima").alias("m"))
-    shared = minima.groupBy("m").agg(F.count("*").alias("size")).where("size > 1")
-    met = minima.join(shared, "m").select("node", F.xxhash64("m", F.floor(F.pmod(F.xxhash64("node", "m"), F.ceil(F.col("size") / SET_NODES)))).alias("g"))
+    # step 2: nodes that share a pair of minima
+    bands = nodes.select("node", F.explode("bands").alias("m"))
+    shared = bands.groupBy("m").agg(F.count("*").alias("size")).where("size > 1")
+    met = bands.join(shared, "m").select("node", F.xxhash64("m", F.floor(F.pmod(F.xxhash64("node", "m"), F.ceil(F.col("size") / SET_NODES)))).alias("g"))
     some = nodes.join(met.groupBy("node").agg(F.collect_set("g").alias("groups")), "node").select("node", "key", "s1", "groups")
     sets = whole_sets(docs, key, text, k, stored(some, "some"))
     edges = stored(link_by_sets(sets.select(F.explode("groups").alias("g"), "node", "shingles"), percent), "edges")
     first = components(edges)
 
-    # step 4: prefix shingles that join components
-    labelled = nodes.join(first, "node", "left").select("node", "rare", "often", F.coalesce("component", "node").alias("component"))
-    rare, often = (labelled.select("node", "component", F.explode(c).alias("h")) for c in ("rare", "often"))
-    facts = {"size": F.count("*"), "low": F.min("component"), "high": F.max("component")}
-    rare = rare.withColumns({c: x.over(Window.partitionBy("h")) for c, x in facts.items()}).where("low <> high")
-    joining = often.groupBy("h").agg(*(x.alias(c) for c, x in facts.items())).where("low <> high")  # common shingles, at most
-    often = often.join(F.broadcast(joining), "h")
-    rows = rare.select("h", "node", "component", "size").union(often.select("h", "node", "component", "size"))
+    # steps 3 and 4: parts that join components
+    labelled = nodes.join(first, "node", "left").select("node", "s1", F.coalesce("component", "node").alias("component"))
+    parts = stored(shared_parts(docs, text, k, percent).join(labelled, "s1").select("sig", "node", "component"), "parts")
+    joining = parts.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = parts.join(joining.where("low <> high").select("sig", "size"), "sig").dropDuplicates(["sig", "node"])
     chunks = F.ceil(F.col("size") / GROUP_NODES)
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
-    group = F.xxhash64("h", F.least("side", "other"), F.greatest("side", "other"))
+    group = F.xxhash64("sig", F.least("side", "other"), F.greatest("side", "other"))
     rows = rows.select(group.alias("g"), "node", "component", "side", (F.col("side") != F.col("other")).alias("cross"))
     rows = rows.join(nodes.select("node", "n", "bits"), "node")
     pairs = stored(candidates_by_bits(rows, percent), "pairs")
     some = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node").select("node", "key", "s1")
     sets = stored(whole_sets(docs, key, text, k, stored(some, "some")).dropDuplicates(["node"]), "sets")
-    one, two = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
-
-    def compare(batches):
-        for batch in batches:
-            same = [
-                100 * i >= percent * (x + y - i)
-                for x, y, i in (
-                    (len(x) // 8, len(y) // 8, len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)))
-                    for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist())
-                )
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(same, pa.bool_()))
-
-    found = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
     # step 5
-    last = components(edges.union(found))
+    last = components(edges.union(verified(pairs, sets, percent)))
     named = nodes.join(last, "node", "left").select("s1", "s2", "n", "key", F.coalesce("component", "node").alias("component"))
+    return info.select("key", "n", "s1", "s2"), named
+
+
+def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+    """key, n_shingles, component_id of every row of docs."""
+    own, named = membership(docs, key=key, text=text, k=k, percent=percent)
     names = named.groupBy("component").agg(F.min("key").alias("component_id"))
     named = named.join(names, "component").select("s1", "s2", "n", "component_id")
-    own = info.select("key", "n", "s1", "s2")
     out = own.where("n > 0").join(named, ["s1", "s2", "n"]).select("key", "n", "component_id")
     out = out.unionByName(own.where("n = 0").select("key", "n", F.col("key").alias("component_id")))
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
 
 
+def one_per_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> DataFrame:
+    """docs without near copies: of each component one row stays, of the smallest key, then the smallest set hash.
+
+    Rows are told apart by key and set, so another text under a key that goes
+    stays; rows without a key come last in a component but follow the same
+    rule; of rows of equal key and set that of the first text stays.  A text
+    without words is a copy of nothing and stays.  Only rows whose key is that of
+    a row that goes, or stands at several, are shuffled.
+    """
+    own, named = membership(docs, key=key, text=text, k=k, percent=percent)
+    rank = F.struct(F.col("key").isNull().alias("none"), "key", "s1", "s2", "n")
+    first = named.groupBy("component").agg(F.min(rank).alias("f")).select(F.col("f.key").alias("_key"), F.col("f.s1").alias("_s1"), F.col("f.s2").alias("_s2"), F.lit(True).alias("stays"))
+    rows = own.where("n > 0").groupBy("key", "s1", "s2").agg(F.count("*").alias("rows"))
+    same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
+    rows = rows.join(first, same, "left").where("stays IS NULL OR rows > 1")
+    contested = stored(rows.select(F.col("key").alias("_near_key"), F.col("s1").alias("_near_1"), F.col("s2").alias("_near_2"), F.coalesce("stays", F.lit(False)).alias("_near_stays")), "contested")
+    maybe = key_filter(contested, F.xxhash64("_near_key"))
+    names = docs.columns
+    marked = docs.select("*", F.xxhash64(key).alias("_near_at"))
+
+    def clear(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~maybe(batch.column("_near_at").to_numpy()))).select(names)
+
+    def signed(batches):
+        some = (b.filter(pa.array(maybe(b.column("_near_at").to_numpy()))) for b in batches)
+        for part, h, _, at in _sets(some, text, k):
+            hashes = (pa.array(_set_hash(h, at, i).view(np.int64)) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *hashes], names=[*names, "_near_s1", "_near_s2"])
+
+    wide = T.StructType([*docs.schema.fields, T.StructField("_near_s1", T.LongType()), T.StructField("_near_s2", T.LongType())])
+    checked = marked.mapInArrow(signed, wide)
+    met = F.col(key).eqNullSafe(F.col("_near_key")) & (F.col("_near_s1") == F.col("_near_1")) & (F.col("_near_s2") == F.col("_near_2"))
+    checked = checked.join(contested, met, "left").where("_near_stays IS NULL OR _near_stays")
+    several = checked.where("_near_stays").groupBy(key, "_near_1", "_near_2").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), text).alias("_near_row"))
+    return marked.mapInArrow(clear, docs.schema).unionByName(checked.where("_near_stays IS NULL").select(names)).unionByName(several.select("_near_row.*"))
+
+
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
