@@ -38,6 +38,8 @@ from tidewrack.llm.packing import pack, tokenize
 from tidewrack.llm.quality import clean_lines
 
 SHINGLE, PERCENT = 5, 80
+#: Short texts are clean as often as long ones, so any with a word may stay.
+LEAST_WORDS = 1
 
 
 def _apart(docs: DataFrame, *used: str) -> tuple[DataFrame, str]:
@@ -59,7 +61,7 @@ def _whole(kept: DataFrame, docs: DataFrame, rest: str, *used: str) -> DataFrame
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     narrow, rest = _apart(docs, "text")
-    kept = clean_lines(narrow).where("kept").select(rest, F.col("clean_text").alias("text"), F.length("clean_text").cast("long").alias("n_chars"))
+    kept = clean_lines(narrow, least_words=LEAST_WORDS).where("kept").select(rest, F.col("clean_text").alias("text"), F.length("clean_text").cast("long").alias("n_chars"))
     return _whole(kept, docs, rest, "text", "n_chars")
 
 

@@ -31,6 +31,16 @@ def test_nulls_repeats_and_empty(spark):
     assert M.mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_absent_zero_and_unnamed_weights(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 3}", "x", "t") for i in range(90)] + [(99, None, "x", "t")], SCHEMA)
+    for weights, last in (({"none": 1}, {"s0", "s1", "s2", None}), ({"s0": 2, "s1": 0, "gone": 5}, {"s1", "s2", None}), ({None: 1, "s2": 1}, {"s0", "s1"}), ({}, {"s0", "s1", "s2", None})):
+        out = sorted(M.mix_sources(docs, weights, block_rows=4).collect(), key=lambda r: r.mix_position)
+        assert [r.mix_position for r in out] == list(range(91))
+        tail = sum(r.source in last for r in out)
+        assert all(r.source in last for r in out[91 - tail :])
+        assert [r.slot for r in out] == sorted(r.slot for r in out)
+
+
 def test_skewed_source_over_buckets(spark, monkeypatch):
     monkeypatch.setattr(M, "ROWS_PER_BUCKET", 10)
     docs = spark.createDataFrame([(i, "hot" if i % 3 else f"s{i % 5}", "x", "t") for i in range(600)], SCHEMA)

@@ -59,6 +59,17 @@ def test_odd_texts(spark):
     assert P.pack(P.tokenize(docs.limit(0))).count() == 0
 
 
+def test_clashing_names_and_equal_rows_spread(spark, monkeypatch):
+    monkeypatch.setattr(P, "GROUP_PIECES", 50)
+    docs = spark.createDataFrame([(None, "same", f"g{i}", i, "p") for i in range(600)], "doc_id long, text string, _group string, sequence_id long, _position string")
+    out = P.pack(P.tokenize(docs), most=1024).collect()
+    assert sorted(r["_group"] for r in out) == sorted(f"g{i}" for i in range(600))
+    sizes = defaultdict(int)
+    for r in out:
+        sizes[r.sequence_id >> 32] += 1
+    assert len(sizes) == 12 and max(sizes.values()) <= 2 * sorted(sizes.values())[6]
+
+
 def test_null_and_repeated_ids_over_groups(spark, monkeypatch):
     monkeypatch.setattr(P, "GROUP_PIECES", 3)
     docs = spark.createDataFrame([(None, "some text")] * 5 + [(1, "other text here")] * 5, "doc_id long, text string")

@@ -34,5 +34,20 @@ def test_base_columns_and_verdicts(spark):
     assert clean[1] == good and "Privacy" not in clean[6] and clean[5].strip() == good.strip()
 
 
+def test_lines_of_other_languages_and_separators(spark):
+    good = "".join(GOOD.format(i) for i in range(12))
+    bad = ["Alle Rechte vorbehalten", "CLIQUEZ ICI pour lire la suite", "Todos los derechos reservados.", "a \u00bb b \u00bb c \u00bb d", "a \u2022 b\u203a c \u00b7", "conditions d'utilisation"]
+    stays = ["one \u00bb two.", "caf\u00e9 \u2014 b \u20ac c \u2026 d.", "one two three | four five."]
+    docs = spark.createDataFrame([(good + "\n".join([*bad, *stays]),)], "text string")
+    row = Q.clean_lines(docs).first()
+    assert row.n_failed_lines == len(bad) and row.clean_text == good + "\n".join(stays)
+
+
+def test_limits(spark):
+    docs = spark.createDataFrame([("a b c.",), ("",), (None,)], "text string")
+    assert [r.kept for r in Q.clean_lines(docs, least_words=3).collect()] == [True, False, False]
+    assert [r.kept for r in Q.clean_lines(docs, least_words=4, texts_too=False).collect()] == [False] * 3
+
+
 def test_empty_table(spark):
     assert Q.clean_lines(spark.createDataFrame([], "doc_id long, text string")).count() == 0

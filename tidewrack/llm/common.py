@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
-from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,17 +28,26 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def fresh_name(columns: list[str], name: str) -> str:
+    """name, with underscores added until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under spark.checkpoint.dir, as a URI.
+    """A fresh folder under spark.checkpoint.dir.
 
-    Where the session names none (tests on one machine) a temporary one is set.
+    Where the session names none, a master that is one machine gets a temporary
+    one; on a cluster machines would not share it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidewrack-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if not urlparse(root).scheme:
-        root = "file://" + os.path.abspath(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

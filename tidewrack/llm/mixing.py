@@ -9,9 +9,16 @@ its number within its source alone.  Rows of a source are taken in the order of
 md5(key).  Every row stays, once: a source that runs out leaves its later slots
 empty, and these are closed up, so the others keep their shares of one another.
 
-Defined cases: a null source is a source of its own; null keys sort first;
-repeated keys stay as separate rows; an empty table gives an empty result;
-extra columns pass through, and the added columns replace any of the same name.
+The bound holds for the rounded weights: a share is rounded to a multiple of about
+1 / resolution, and to one such step at least.
+
+Defined cases: a null source is a source of its own; a source without a positive
+weight, where weights are given, has no share: its rows follow after all others,
+mixed by their counts; weights of absent sources do not matter; of equal deadlines
+the first source in order of name is due; null keys sort first; repeated keys
+stay as separate rows, in any order among themselves; texts are not looked at, so
+their length does not matter; an empty table gives an empty result; extra columns
+pass through, and the added columns replace any of the same name.
 """
 
 from __future__ import annotations
@@ -95,6 +102,22 @@ def mix_sources(
     Without `weights` a source's target is its row count to the power `temperature`.
     """
     kept = [c for c in docs.columns if c not in ADDED]
+    if weights is not None:
+        given = {k: w for k, w in weights.items() if w > 0}
+        named = F.coalesce(F.col(source).cast("string").isin([str(k) for k in given if k is not None]), F.lit(None in given))
+        options = {"source": source, "key": key, "block_rows": block_rows, "resolution": resolution, "temperature": temperature}
+        rest = mix_sources(docs.where(~named), **options)
+        docs = docs.where(named)
+        if not rest.isEmpty():
+            first = _mixed(docs, kept, given, **options)
+            ahead = first.agg(F.count("*").alias("rows"), (F.coalesce(F.max("slot"), F.lit(-1)) + 1).alias("slots")).first()
+            moved = {c: F.col(c) + ahead.slots for c in ("release", "deadline", "slot")} | {"mix_position": F.col("mix_position") + ahead.rows}
+            return first.unionByName(rest.withColumns(moved))
+        weights = given
+    return _mixed(docs, kept, weights, source=source, key=key, block_rows=block_rows, resolution=resolution, temperature=temperature)
+
+
+def _mixed(docs: DataFrame, kept: list[str], weights: dict | None, *, source: str, key: str, block_rows: int, resolution: int, temperature: float) -> DataFrame:
     digits = max(0, math.ceil(math.log(max(docs.count(), 1) / ROWS_PER_BUCKET, 16)))
     rows = docs.select(
         *kept,

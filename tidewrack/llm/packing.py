@@ -3,8 +3,8 @@
 A document's tokens end with one separator.  Documents longer than a sequence
 are cut into full-length pieces, of which the first may be shorter, so a
 document leaves at most one piece that is not full.  Full pieces are sequences
-already.  The others are dealt at random (by a hash of document and place) to
-groups of about `GROUP_PIECES`; each group places its pieces, longest first,
+already.  The others are dealt at random (by a hash of their place in the table,
+so equal rows spread as well) to groups of about `GROUP_PIECES`; each group places its pieces, longest first,
 in the open bin that leaves the sum over residual gaps of the squared number of
 open bins smallest; a bin is opened only where none fits (letting the rule open
 bins as well took 1.7 % more sequences).  Groups are independent, so the work
@@ -20,7 +20,11 @@ stretch before.
 passes other columns through, so that it moves ids only if asked to.
 
 Defined cases: a null text is empty and becomes the separator alone; null or
-repeated ids are separate documents; an empty table gives an empty result.
+repeated ids are separate documents; of pieces of equal length the earlier in its
+group is placed first, and of residual gaps that serve equally well the smallest
+is taken; a very long text is encoded whole by one task, in memory for some
+thirty times its size; an empty table gives an empty result; other columns pass
+through, and the added columns replace any of the same name.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import tokens
-from .common import stored
+from .common import fresh_name, stored
 
 MAX_TOKENS = 1024
 SEPARATOR = 2
@@ -223,10 +227,9 @@ def pack(
     *,
     most: int = MAX_TOKENS,
     length: str = "length",
-    spread: tuple[str, ...] = ("doc_id", "piece", "length"),
     position: str | None = None,
 ) -> DataFrame:
-    """pieces with sequence_id and offset.  Pieces of `most` tokens never leave their place.
+    """pieces, a table that reads the same each time (stored, say), with sequence_id and offset.  Pieces of `most` tokens never leave their place.
 
     `position` names a column of documents' different places from 0 in an order to keep; pieces then need a column piece, as `tokenize` gives.
     """
@@ -241,16 +244,17 @@ def pack(
     short = pieces.where(F.col(length) < most)
     if position is None:
         groups = max(1, math.ceil(short.count() / GROUP_PIECES))
-        key = F.pmod(F.xxhash64(*spread), F.lit(groups))
+        key = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))
     else:
         documents = (pieces.agg(F.max(position)).first()[0] or 0) + 1
         stretch = math.ceil(documents / math.ceil(documents / GROUP_PIECES))
         key = F.floor(F.col(position) / stretch)
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
     n_fields = len(pieces.columns)
+    own_group = fresh_name(pieces.columns, "_group")
 
     def run(table: pa.Table) -> pa.Table:
-        group = table.column("_group")[0].as_py()
+        group = table.column(own_group)[0].as_py()
         if position is not None:
             table = table.sort_by(position)
         which, offset = place(table.column(length).to_numpy().astype(np.int64), most)
@@ -262,7 +266,7 @@ def pack(
         columns = [*table.columns[:n_fields], pa.array(number), pa.array(offset)]
         return pa.Table.from_arrays(columns, names=schema.fieldNames())
 
-    placed = short.withColumn("_group", key).groupBy("_group").applyInArrow(run, schema)
+    placed = short.withColumn(own_group, key).groupBy(own_group).applyInArrow(run, schema)
     return whole.unionByName(placed)
 
 

@@ -1,7 +1,7 @@
 """Quality rules, line first: lines that break a rule go, then documents that lost too much go.
 
 A line (split at \\n, with at least one word) fails if it is
-* navigation: three or more separators, at least one for every three words;
+* navigation: three or more of `SEPARATORS`, at least one for every three words;
 * symbols: more than a tenth of its non-space characters are of ``#*$%&|<>``;
 * shouting: at least five words, over seven tenths of its letters A-Z capital;
 * boilerplate: at most 40 words, with a phrase of `BOILERPLATE`;
@@ -9,11 +9,14 @@ A line (split at \\n, with at least one word) fails if it is
 * repeated: equal to an earlier line of its text.
 The text left is the lines that passed (lines without words stay).  `lost` is
 the share of word characters removed; a document over `most_lost` is rejected,
-as is one that fails the base rules (too few words, too many repeated words).
+as is one that fails the base rules: fewer than `least_words` words, or over half
+of its words in three-word windows found twice.
 
 Defined cases: a null text is empty and is rejected; null ids and repeated rows
-are treated like any row; an empty table gives an empty result; other columns
-pass through, and the added columns replace any of the same name.
+are treated like any row; of equal lines the first counts as the original; a text
+exactly at a limit stays; an empty table gives an empty result; a very long text
+is measured whole, in memory for some twenty times its size; other columns pass
+through, and the added columns replace any of the same name.
 """
 
 from __future__ import annotations
@@ -27,21 +30,20 @@ from pyspark.sql import types as T
 
 from . import tokens
 
-# Phrases that mark boilerplate lines.
+# Phrases that mark boilerplate lines (ASCII only, since case is folded for A-Z alone).
 BOILERPLATE = (
-    "accept all cookies",
-    "all rights reserved",
-    "click here",
-    "cookie policy",
-    "enable javascript",
-    "lorem ipsum",
-    "privacy policy",
-    "sign up for our newsletter",
-    "skip to content",
-    "terms of service",
-    "terms of use",
-    "this site uses cookies",
-)
+    # English
+    "accept all cookies", "all rights reserved", "click here", "cookie policy", "enable javascript", "lorem ipsum", "privacy policy",
+    "sign up for our newsletter", "skip to content", "terms of service", "terms of use", "this site uses cookies",
+    # German
+    "alle cookies akzeptieren", "alle rechte vorbehalten", "hier klicken", "newsletter abonnieren", "zum inhalt springen", "diese website verwendet cookies",
+    # French
+    "accepter tous les cookies", "aller au contenu", "cliquez ici", "politique de cookies", "conditions d'utilisation", "ce site utilise des cookies",
+    # Spanish
+    "aceptar todas las cookies", "todos los derechos reservados", "haga clic", "saltar al contenido", "aviso legal", "este sitio utiliza cookies",
+)
+# Separators of navigation lines.
+SEPARATORS = "|\u00b7\u00bb\u2022\u203a"
 _BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)).encode(), re.IGNORECASE)
 ADDED = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines")]
@@ -60,7 +62,7 @@ def _flags(members: bytes) -> np.ndarray:
     return out
 
 
-_SYMBOL, _PIPE, _UPPER, _LOWER = _flags(b"#*$%&|<>"), _flags(b"|"), _flags(bytes(range(65, 91))), _flags(bytes(range(97, 123)))
+_SYMBOL, _UPPER, _LOWER = _flags(b"#*$%&|<>"), _flags(bytes(range(65, 91))), _flags(bytes(range(97, 123)))
 _END_MARK = _flags(b".!?:;")
 _INSIDE = ~tokens._SPACE
 
@@ -72,7 +74,20 @@ def _count(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(total[at])
 
 
-def _measure(data: np.ndarray, offsets: np.ndarray, most_lost: float) -> dict[str, list]:
+def _separators(data: np.ndarray) -> np.ndarray:
+    """Flags of the first bytes of SEPARATORS."""
+    out = np.zeros(len(data), dtype=bool)
+    for c in SEPARATORS:
+        code = c.encode()
+        found = data == code[0]
+        for i in range(1, len(code)):
+            found[:-i] &= data[i:] == code[i]
+            found[-i:] = False
+        out |= found
+    return out
+
+
+def _measure(data: np.ndarray, offsets: np.ndarray, most_lost: float, least_words: int, texts_too: bool) -> dict[str, list]:
     n = len(offsets) - 1
     word_start, word_end, word_doc = tokens.words(data, offsets)
     n_words = np.bincount(word_doc, minlength=n)
@@ -109,7 +124,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray, most_lost: float) -> dict[st
     per = lambda flags: _count(flags, bounds)
     line_words = np.diff(np.searchsorted(word_start, bounds))
     has = line_words > 0
-    chars, symbols, pipes = per(points), per(_SYMBOL[data]), per(_PIPE[data])
+    chars, symbols, pipes = per(points), per(_SYMBOL[data]), per(_separators(data))
     upper, lower, marks = per(_UPPER[data]), per(_LOWER[data]), per(_END_MARK[data])
     line_hash = tokens.word_hashes(data, start, end, fold=False)
     order = tokens.grouped_order(line_doc[has], line_hash[has]) if has.any() else np.zeros(0, np.int64)
@@ -138,11 +153,11 @@ def _measure(data: np.ndarray, offsets: np.ndarray, most_lost: float) -> dict[st
 
     gone = np.bincount(line_doc[failed], weights=chars[failed], minlength=n)
     lost = np.divide(gone, word_chars, out=np.zeros(n), where=word_chars > 0)
-    base_failed = (n_words < 50) | (100 * n_repeat > 50 * n_words)
+    base_failed = (n_words < least_words) | (100 * n_repeat > 50 * n_words)
     texts = []
     first_line, last_line = np.searchsorted(start, offsets[:-1]), np.searchsorted(start, offsets[1:])
     n_failed = np.bincount(line_doc[failed], minlength=n)
-    for i in range(n):
+    for i in range(n if texts_too else 0):
         a, b = int(offsets[i]), int(offsets[i + 1])
         if n_failed[i]:
             keep = [j for j in range(first_line[i], last_line[i]) if not failed[j]]
@@ -156,19 +171,20 @@ def _measure(data: np.ndarray, offsets: np.ndarray, most_lost: float) -> dict[st
     }
 
 
-def clean_lines(docs: DataFrame, most_lost: float = 0.3, text: str = "text") -> DataFrame:
-    """docs with the columns of ADDED; no shuffle, and memory for a few megabytes of text at a time."""
+def clean_lines(docs: DataFrame, most_lost: float = 0.3, text: str = "text", *, least_words: int = 50, texts_too: bool = True) -> DataFrame:
+    """docs with the columns of ADDED (without clean_text unless `texts_too`); no shuffle, and memory for a few megabytes of text at a time."""
     names = set(ADDED.fieldNames())
     docs = docs.select([c for c in docs.columns if c not in names])
-    schema = T.StructType([*docs.schema.fields, *ADDED.fields])
+    added = T.StructType([f for f in ADDED.fields if texts_too or f.name != "clean_text"])
+    schema = T.StructType([*docs.schema.fields, *added.fields])
 
     def run(batches):
         for batch in batches:
             data, offsets = tokens.bytes_of(batch.column(text))
             for a, b in tokens.chunks(offsets):
-                found = _measure(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], most_lost)
+                found = _measure(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], most_lost, least_words, texts_too)
                 kinds = {"clean_text": pa.string(), "lost": pa.float64(), "base_failed": pa.bool_(), "kept": pa.bool_()}
-                extra = [pa.array(found[c], kinds.get(c, pa.int64())) for c in ADDED.fieldNames()]
+                extra = [pa.array(found[c], kinds.get(c, pa.int64())) for c in added.fieldNames()]
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=schema.fieldNames())
         tokens.release()
@@ -178,7 +194,7 @@ def clean_lines(docs: DataFrame, most_lost: float = 0.3, text: str = "text") ->
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return clean_lines(docs).drop("text", "clean_text")
+    return clean_lines(docs, texts_too=False).drop("text")
 
 
 #: The base columns and the verdict, line by line, for DuckDB.
@@ -190,7 +206,7 @@ rep AS (SELECT r, x.i AS i FROM (SELECT r, x, count(*) OVER (PARTITION BY r, x.g
 cov AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY r),
 l AS (SELECT r, doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS nw,
         len(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS nc,
-        len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS ns, len(regexp_replace(line, '[^|]', '', 'g')) AS np,
+        len(regexp_replace(line, '[^#*$%&|<>]', '', 'g')) AS ns, len(regexp_replace(line, '[^@separators@]', '', 'g')) AS np,
         len(regexp_replace(line, '[^A-Z]', '', 'g')) AS nu, len(regexp_replace(line, '[^a-z]', '', 'g')) AS nl,
         regexp_matches(line, '[.!?:;]') AS marked,
         row_number() OVER (PARTITION BY r, line ORDER BY i) AS nth
@@ -206,4 +222,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_fa
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.3 AS kept
 FROM o
-""".replace("@phrases@", "|".join(BOILERPLATE))
+""".replace("@phrases@", "|".join(BOILERPLATE).replace("'", "''")).replace("@separators@", SEPARATORS)
