@@ -1,8 +1,9 @@
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidewrack.operators import aggregates, changes, joins, windows
+from tidewrack.operators import aggregates, changes, joins, scripts, windows
 from tidewrack.streaming import events
 
 
@@ -31,6 +32,44 @@ def test_salted_join_is_a_join(spark):
     assert rows(joins.salted_join(large, small, "k", 4, "left").select("i", "v")) == rows(large.join(small, "k", "left").select("i", "v"))
 
 
+def test_outer_joins_give_unmatched_rows_once(spark):
+    large = spark.createDataFrame([(1, 1), (2, 1), (3, 8), (4, None)], "i int, k int")
+    small = spark.createDataFrame([(1, "a"), (9, "b"), (9, "b"), (None, "c")], "k int, v string")
+    for how in ("right", "full"):
+        assert rows(joins.salted_join(large, small, "k", 4, how).select("i", "k", "v")) == rows(large.join(small, "k", how).select("i", "k", "v"))
+    points = spark.createDataFrame([(1, 2.0), (2, 50.0), (3, None)], "id int, p double")
+    spans = spark.createDataFrame([("a", 0.0, 40.0), ("b", 60.0, 90.0), ("b", 60.0, 90.0), ("c", None, 1.0), ("d", 5.0, 4.0)], "name string, lo double, hi double")
+    for how in ("left", "right", "full"):
+        want = points.join(spans, (points.p >= spans.lo) & (points.p <= spans.hi), how)
+        assert rows(joins.range_join(points, spans, "p", "lo", "hi", 3.0, how)) == rows(want)
+
+
+def test_scripts(spark):
+    text = "SELECT 1 AS a; SELECT 'x;--y' AS b -- no; end\n; ; SELECT nope; /* ; */ SELECT 2 - 1 AS c;"
+    assert scripts.statements(text) == ["SELECT 1 AS a", "SELECT 'x;--y' AS b", "SELECT nope", "SELECT 2 - 1 AS c"]
+    stopped, whole = scripts.run_script(spark, text), scripts.run_script(spark, text, go_on=True)
+    assert len(stopped) == 3 and stopped[2].error and [r.rows.first()[0] for r in whole if r.rows] == [1, "x;--y", 1]
+    assert scripts.run_script(spark, " -- nothing") == []
+
+
+def test_samples(spark):
+    from tidewrack.plans.registry import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    every = {r.o_orderkey for r in spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey").collect()}
+    one, two = (sorted(r.o_orderkey for r in QUERIES["sample_rows"](spark, sf).collect()) for _ in range(2))
+    assert one == two and len(set(one)) == len(one) and set(one) <= every
+    assert abs(len(one) - 0.1 * len(every)) < 5 * (0.09 * len(every)) ** 0.5
+
+
+def test_session_windows_at_the_gap(spark):
+    start = datetime(2024, 1, 1)
+    events = spark.createDataFrame([(1, start + timedelta(minutes=m)) for m in (0, 10, 20, 31, 41)], "u int, t timestamp")
+    spark_own = events.groupBy("u", F.session_window("t", "10 minutes")).agg(F.count("*").alias("n"))
+    own = windows.sessions(events, ["u"], "t", "10 MINUTES").groupBy("u", "session").agg(F.count("*").alias("n"))
+    assert rows(spark_own.select("n")) == rows(own.select("n")) == [(2,), (3,)]
+
+
 def test_top_per_key_and_aggregates(spark):
     df = spark.createDataFrame([("a", i) for i in range(10)] + [("b", None)], "k string, v int")
     assert rows(joins.top_per_key(df, ["k"], [F.desc_nulls_last("v")], 2).select("k", "v")) == [("a", 8), ("a", 9), ("b", None)]
@@ -54,6 +93,8 @@ def test_changes_keep_rows_where_the_condition_is_null(spark):
     assert rows(changes.update_where(df, F.col("v") > 6, v=F.lit(0))) == [(1, 5), (2, None), (3, 0)]
     new = spark.createDataFrame([(1, 7, False), (3, 0, True), (4, 4, False)], "k int, v int, deleted boolean")
     assert rows(changes.merge(df, new, "k")) == [(1, 7), (2, None), (4, 4)]
+    with pytest.raises(Exception, match="several changes"):
+        changes.merge(df, new.union(new), "k").collect()
 
 
 def test_plans_push_down(spark):

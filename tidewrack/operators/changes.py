@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,8 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 
 def merge(df: DataFrame, changes: DataFrame, key: str, deleted: str = "deleted") -> DataFrame:
-    """Upserts and, where `deleted`, deletes: changes (one row per key) win over df's rows."""
+    """Upserts and, where `deleted`, deletes: changes win over df's rows.  Several changes of one key are an error."""
+    changes = changes.withColumn("_changes", F.count("*").over(Window.partitionBy(key)))
+    changes = changes.where(F.assert_true(F.col("_changes") == 1, "a key has several changes").isNull()).drop("_changes")
     kept = df.join(changes.select(key), key, "left_anti")
     return kept.unionByName(changes.where(~F.col(deleted)).select(*df.columns))

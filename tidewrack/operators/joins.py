@@ -12,8 +12,17 @@ def range_join(left: DataFrame, right: DataFrame, point: str, low: str, high: st
     A row of `right` is repeated for each stretch that its interval touches, so
     choose a width near the usual interval: the join then shuffles about one or
     two rows for each, where a theta join would compare all pairs.  Null points
-    and intervals match nothing.
+    and intervals match nothing.  `how` is inner, left, right or full; unmatched
+    rows of `right` are found by their intervals, in a second pass.  Column names
+    of the two sides must differ.
     """
+    if how in ("right", "full"):
+        met = range_join(left.select(point), right.select(low, high).distinct(), point, low, high, width).select(F.col(low).alias("_low"), F.col(high).alias("_high")).distinct()
+        lone = right.join(met, right[low].eqNullSafe(F.col("_low")) & right[high].eqNullSafe(F.col("_high")), "left_anti")
+        matched = range_join(left, right, point, low, high, width, "inner" if how == "right" else "left")
+        return matched.unionByName(lone, allowMissingColumns=True)
+    if how not in ("inner", "left"):
+        raise ValueError(f"range_join does not know {how!r}")
     cell = lambda c: F.floor(F.col(c).cast("double") / width)
     left = left.withColumn("_cell", cell(point))
     right = right.withColumn("_cell", F.explode(F.when(F.col(low) <= F.col(high), F.sequence(cell(low), cell(high)))))
@@ -46,7 +55,16 @@ def _struct_type(df: DataFrame, columns: list[str]):
 
 
 def salted_join(large: DataFrame, small: DataFrame, on: str, salts: int = 16, how: str = "inner") -> DataFrame:
-    """Equi-join of a side with hot keys: its rows of a key go to `salts` tasks, and the other side is repeated to each."""
+    """Equi-join of a side with hot keys: its rows of a key go to `salts` tasks, and the other side is repeated to each.
+
+    `how` is inner, left, right or full; as rows of `small` are repeated, its
+    unmatched ones are added once, from the keys that `large` lacks.
+    """
+    if how in ("right", "full"):
+        lone = small.join(large.select(on).distinct(), on, "left_anti")
+        return salted_join(large, small, on, salts, "inner" if how == "right" else "left").unionByName(lone, allowMissingColumns=True)
+    if how not in ("inner", "left"):
+        raise ValueError(f"salted_join does not know {how!r}")
     large = large.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, t in large.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int"))
     small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return large.join(small, [on, "_salt"], how).drop("_salt")

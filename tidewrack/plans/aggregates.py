@@ -29,8 +29,8 @@ same_sql("agg_having", "SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o
 same_sql("agg_filter", "SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o FROM {orders} GROUP BY o_orderpriority")
 same_sql("agg_global", "SELECT count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, CAST(sum(l_linenumber) AS BIGINT) AS s, bool_and(l_quantity > 0) AS positive FROM {lineitem}")
 same_sql("agg_grouping_sets", "SELECT l_returnflag, l_linestatus, grouping(l_returnflag) AS g, count(*) AS n FROM {lineitem} GROUP BY GROUPING SETS ((l_returnflag, l_linestatus), (l_returnflag), ())")
-same_sql("agg_rollup", "SELECT p_brand, p_size, count(*) AS n FROM {part} WHERE p_size <= 5 GROUP BY ROLLUP (p_brand, p_size)")
-same_sql("agg_cube", "SELECT c_mktsegment, c_nationkey, count(*) AS n FROM {customer} WHERE c_nationkey < 4 GROUP BY CUBE (c_mktsegment, c_nationkey)")
+same_sql("agg_rollup", "SELECT p_brand, p_size, count(*) AS n FROM {part} GROUP BY ROLLUP (p_brand, p_size)")
+same_sql("agg_cube", "SELECT c_mktsegment, c_nationkey, count(*) AS n FROM {customer} GROUP BY CUBE (c_mktsegment, c_nationkey)")
 same_sql("agg_median", "SELECT l_returnflag, median(l_quantity) AS med FROM {lineitem} GROUP BY l_returnflag")
 same_sql(
     "agg_percentile",
@@ -38,10 +38,16 @@ same_sql(
 )
 same_sql("agg_max_by", "SELECT n_regionkey, max_by(n_name, n_nationkey) AS last_name, min_by(n_name, n_nationkey) AS first_name FROM {nation} GROUP BY n_regionkey")
 same_sql("agg_statistics", "SELECT l_linestatus, round(stddev_samp(l_quantity), 6) AS sd, round(var_pop(l_quantity), 6) AS var, round(corr(l_quantity, l_linenumber), 6) AS r FROM {lineitem} GROUP BY l_linestatus")
-same_sql("agg_mode", "SELECT c_nationkey, count(DISTINCT c_mktsegment) AS segments FROM {customer} GROUP BY c_nationkey")
 same_sql("agg_distinct_pairs", "SELECT count(*) AS n FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {lineitem})")
 
 
+@query("""
+SELECT p_brand, p_size AS usual_size FROM (SELECT p_brand, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_size) AS nth FROM part GROUP BY p_brand, p_size) WHERE nth = 1""")
+def agg_mode(t):
+    """The most frequent value, of equally frequent ones the smallest."""
+    return t.part.groupBy("p_brand").agg(F.mode("p_size", True).alias("usual_size"))
+
+
 @query("SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS names FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def agg_strings(t):
     rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))

@@ -44,8 +44,20 @@ def join_salted(t):
     return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.count_distinct("c_custkey").alias("customers"))
 
 
-_KEYS = "(SELECT o_custkey AS k, count(*) AS orders FROM {orders} WHERE o_orderkey % 3 = 0 GROUP BY o_custkey)"
-_CUST = "(SELECT c_custkey AS k, c_nationkey FROM {customer} WHERE c_custkey % 2 = 0)"
+_TOTALS = "SELECT event_id, c_custkey, c_name FROM (SELECT event_id, user_id FROM events) {how} JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0) ON user_id = c_custkey"
+
+
+def _salted_outer(t, how):
+    large = t.events.select("event_id", F.col("user_id").alias("k"))
+    small = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("k"), "c_custkey", "c_name")
+    return salted_join(large, small, "k", 8, how).select("event_id", "c_custkey", "c_name")
+
+
+for _how in ("left", "right", "full"):
+    query(_TOTALS.replace("{how}", _how.upper()), f"join_salted_{_how}")(lambda t, how=_how: _salted_outer(t, how))
+
+_KEYS = "(SELECT o_custkey AS k, count(*) AS orders FROM {orders} WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)"
+_CUST = "(SELECT c_custkey AS k, c_nationkey FROM {customer} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))"
 for _how in ("LEFT", "RIGHT", "FULL"):
     same_sql(f"join_{_how.lower()}_outer", f"SELECT coalesce(a.k, b.k) AS k, c_nationkey, orders FROM {_CUST} a {_how} JOIN {_KEYS} b ON a.k = b.k")
 same_sql("join_semi", "SELECT c_custkey FROM {customer} WHERE EXISTS (SELECT 1 FROM {orders} WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
@@ -53,7 +65,7 @@ same_sql("join_anti", "SELECT c_custkey FROM {customer} WHERE NOT EXISTS (SELECT
 same_sql("join_not_in", "SELECT p_partkey FROM {part} WHERE p_partkey NOT IN (SELECT l_partkey FROM {lineitem} WHERE l_quantity >= 40)")
 same_sql("join_cross_small", "SELECT r_name, n_name FROM {region} CROSS JOIN {nation} WHERE r_regionkey <> n_regionkey")
 same_sql("join_using", "SELECT count(*) AS n FROM (SELECT l_orderkey AS k FROM {lineitem}) a JOIN (SELECT o_orderkey AS k FROM {orders}) b USING (k)")
-same_sql("join_self", "SELECT a.c_nationkey, count(*) AS pairs FROM {customer} a JOIN {customer} b ON a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment AND a.c_custkey < b.c_custkey GROUP BY a.c_nationkey")
+same_sql("join_self", "SELECT a.o_orderkey, count(*) AS later FROM {orders} a JOIN {orders} b ON a.o_custkey = b.o_custkey AND a.o_orderdate < b.o_orderdate GROUP BY a.o_orderkey")
 same_sql(
     "join_star",
     "SELECT r_name, year(o_orderdate) AS y, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey "
@@ -81,6 +93,21 @@ def join_range(t):
     return range_join(points, spans, "point", "low", "high", 100.0).groupBy("event_id").agg(F.count("o_orderkey").alias("orders"))
 
 
+_RANGE_OUTER = """
+SELECT event_id, o_orderkey FROM (SELECT event_id, value * 1000 AS point FROM events) {how} JOIN
+(SELECT o_orderkey, o_totalprice AS low, o_totalprice + 25 AS high FROM orders) ON point BETWEEN low AND high"""
+
+
+def _range_outer(t, how):
+    points = t.events.select("event_id", (F.col("value") * 1000).alias("point"))
+    spans = t.orders.select("o_orderkey", F.col("o_totalprice").alias("low"), (F.col("o_totalprice") + 25).alias("high"))
+    return range_join(points, spans, "point", "low", "high", 100.0, how).select("event_id", "o_orderkey")
+
+
+for _how in ("left", "right", "full"):
+    query(_RANGE_OUTER.replace("{how}", _how.upper()), f"join_range_{_how}")(lambda t, how=_how: _range_outer(t, how))
+
+
 @query("""
 SELECT a.event_id, b.event_id AS last_view FROM (SELECT * FROM events WHERE event_type = 'purchase') a
 ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') b ON a.user_id = b.user_id AND a.ts >= b.ts""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, changes, joins, reshape, scalars, sets, sources, streams, texts, windows  # noqa: F401  (they register)
+from . import aggregates, changes, joins, reshape, scalars, scripts, sets, sources, streams, texts, windows  # noqa: F401  (they register)
 from .query import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

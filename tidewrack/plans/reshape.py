@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from .query import query, same_sql
 
 
-@query("SELECT c_mktsegment, count(*) FILTER (c_nationkey = 0) AS n0, count(*) FILTER (c_nationkey = 1) AS n1, count(*) FILTER (c_nationkey = 2) AS n2 FROM customer GROUP BY c_mktsegment")
+_NATIONS = range(25)
+
+
+@query(f"SELECT c_mktsegment, {', '.join(f'count(*) FILTER (c_nationkey = {i}) AS n{i}' for i in _NATIONS)} FROM customer GROUP BY c_mktsegment")
 def pivot_counts(t):
-    rows = t.customer.groupBy("c_mktsegment").pivot("c_nationkey", [0, 1, 2]).agg(F.count("c_custkey"))
-    return rows.select("c_mktsegment", *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"n{i}") for i in range(3)])
+    rows = t.customer.groupBy("c_mktsegment").pivot("c_nationkey", list(_NATIONS)).agg(F.count("c_custkey"))
+    return rows.select("c_mktsegment", *[F.coalesce(F.col(str(i)), F.lit(0)).alias(f"n{i}") for i in _NATIONS])
 
 
 @query("SELECT s_suppkey, 'balance' AS measure, s_acctbal AS value FROM supplier UNION ALL SELECT s_suppkey, 'nation', s_nationkey::DOUBLE FROM supplier")

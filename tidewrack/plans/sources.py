@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,12 @@ from .query import query
 
 
 def scratch(spark) -> str:
-    """A fresh path in the folder that driver and executors share; a temporary one where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidewrack-")
+    """A fresh path in the folder that driver and executors share; where the session names none, a temporary one if it is one machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="tidewrack-")
     return f"{root.rstrip('/')}/files-{uuid.uuid4().hex}"
 
 

@@ -21,6 +21,19 @@ def text_word_counts(t):
     return words.groupBy("w").agg(F.count("*").alias("n")).where("n >= 50")
 
 
+_TERMS = ("the", "of", "und", "licensed")
+
+
+@query(f"""
+SELECT doc_id, matches, terms FROM (SELECT doc_id, count(*) AS matches, count(DISTINCT w) AS terms FROM
+(SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents) WHERE w IN {_TERMS} GROUP BY doc_id) ORDER BY terms DESC, matches DESC, doc_id LIMIT 20""")
+def text_term_search(t):
+    """The twenty documents that hold most of the terms, then the most matches."""
+    words = t.documents.select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("w")).where(F.col("w").isin(*_TERMS))
+    found = words.groupBy("doc_id").agg(F.count("*").alias("matches"), F.count_distinct("w").alias("terms"))
+    return found.orderBy(F.desc("terms"), F.desc("matches"), "doc_id").limit(20)
+
+
 @query("SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY sha256(text)")
 def text_exact_copies(t):
     return t.documents.groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).drop("h")
