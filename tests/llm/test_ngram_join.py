@@ -110,7 +110,13 @@ def test_alike_sets_share_a_part(percent):
                 continue
             h = np.array(sorted(a) + sorted(b), np.uint64)
             sig, owner = J.part_signatures(h, np.array([0, len(a), len(a) + len(b)]), percent)
-            assert set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist()), (n, len(a), len(b))
+            both = set(sig[owner == 0].tolist()) & set(sig[owner == 1].tolist())
+            end, _, most = J.intervals(percent)
+            interval = int(np.searchsorted(end, min(len(a), len(b))))
+            need = int(most[interval]) + 1 - (len(a) + len(b)) * (100 - percent) // (100 + percent)
+            assert need >= 1
+            both = [s for s in both if s & 127 == interval]
+            assert len(both) >= need or any(s & 128 for s in both), (n, len(a), len(b))
 
 
 def test_parts_of_texts_that_share_a_passage_do_not_meet():

@@ -13,8 +13,9 @@ Documents with equal sets are one node; all work is on nodes.
    part's signature is a hash of all shingles in it.  A part holds several
    shingles, so documents that share just a passage, a line or a few frequent
    shingles do not meet, however many they are, and no frequencies are needed.
-4. Nodes of different components that share a part are the candidates left.
-   They meet by bitmap in a signature tree, again only across components;
+4. Nodes of different components that share a part are the candidates left, if
+   they share as many as they must: of over K parts at most as many differ as
+   shingles may, and for most sizes these are fewer than K.  They meet by bitmap in a signature tree, again only across components;
    groups too large for a task are met in pairs of chunks.  Pairs that may be
    similar are then compared by whole sets.
 5. Components of all links.
@@ -30,6 +31,8 @@ Empty parts are not emitted: a set with over K parts that are not empty has
 one that is as in the other set.  For the few sets with fewer, single shingles
 of a prefix in the order of hashes are emitted besides, under a mark of their
 own, which any two such sets share.  Sets so small that K is 0 have no partner.
+A signature's lowest bits tell its interval and that mark; a pair counts in the
+interval of its smaller set only.
 
 Defined cases: a text without words, or null, has an empty set, is linked with
 nothing and is its own component; a text of fewer words than a shingle has one
@@ -42,6 +45,7 @@ long.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import cache
 
 import numpy as np
@@ -118,11 +122,15 @@ def describe(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, bands array<long>, bits binary")
 
 
+#: A signature's bits for the number of its interval, and for the mark of single shingles.
+_INTERVAL_BITS, _LOOSE = 127, 128
+
+
 @cache
-def intervals(most: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each interval of sizes up to `most`: upper end, largest size of a partner, and K (see above)."""
+def intervals(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each interval of sizes up to 2^31: upper end, largest size of a partner, and K (see above)."""
     ends, low = [], 1
-    while not ends or ends[-1] < most:
+    while not ends or ends[-1] < 1 << 31:
         ends.append(max(int(INTERVAL * low), 100 * low // percent))
         low = ends[-1] + 1
     end = np.array(ends, dtype=np.int64)
@@ -133,9 +141,10 @@ def intervals(most: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def part_signatures(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of documents' parts, and each one's document; h is sorted within documents."""
     n = np.diff(at)
-    end, partner, most = intervals(int(n.max(initial=1)), percent)
+    end, partner, most = intervals(percent)
     own = np.searchsorted(end, n)
     scrambled = tokens.mix(h ^ _SEEDS[3])
+    marked = lambda sig, which, loose: sig & ~np.uint64(255) | which.astype(np.uint64) | np.uint64(loose)
     out, owners = [], []
     for which, before in ((own, n > 0), (own - 1, (own > 0) & (n <= partner[own - 1]))):
         docs = np.flatnonzero(before & (most[which] > 0))
@@ -149,14 +158,14 @@ def part_signatures(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.nda
         part = ((h[token] >> np.uint64(32)) * parts[doc]) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])]))
         mark = tokens.mix((which[docs].astype(np.uint64) + np.uint64(1)) * tokens._BASE)
-        out.append(tokens.mix(np.add.reduceat(scrambled[token], first) + tokens.mix(mark[doc[first]] + part[first])))
+        out.append(marked(tokens.mix(np.add.reduceat(scrambled[token], first) + tokens.mix(mark[doc[first]] + part[first])), which[docs][doc[first]], 0))
         owners.append(docs[doc[first]])
         few = np.flatnonzero(np.bincount(doc[first], minlength=len(docs)) <= differ)
         if len(few):
             reach = size[few] + (-size[few] * percent // 100) + 1
             token = np.repeat(at[:-1][docs[few]] - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
             doc = np.repeat(few, reach)
-            out.append(tokens.mix(scrambled[token] ^ tokens.mix(~mark[doc])))
+            out.append(marked(tokens.mix(scrambled[token] ^ tokens.mix(~mark[doc])), which[docs][doc], _LOOSE))
             owners.append(docs[doc])
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -308,18 +317,19 @@ def link_by_sets(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of nodes of different components that may be similar, from groups g of node, n, component, bits, side, cross.
+    """Pairs a, b of nodes of different components that may be similar, from groups g of node, n, component, bits, side, cross, mark.
 
-    A group holds the nodes that share a part.
+    A group holds the nodes that share a part, whose signature ends in `mark`.
     """
+    end, _, most = intervals(percent)
 
     def run(batches):
-        met: set[tuple] = set()
+        met: Counter = Counter()
 
         def flush():
-            columns = [pa.array(x, pa.int64()) for x in zip(*met)]
+            columns = [pa.array(x, pa.int64()) for x in (*zip(*met), met.values())]
             met.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "need", "parts"])
 
         for group in _groups(batches):
             comps = group.column("component").to_pylist()
@@ -328,7 +338,16 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
             nodes, sizes, bits = (group.column(c).to_pylist() for c in ("node", "n", "bits"))
             sides, cross = group.column("side").to_pylist(), group.column("cross")[0].as_py()
             leaves = [S.leaf(i, n, int.from_bytes(x, "little"), S.width_of(n), c) for i, (n, x, c) in enumerate(zip(sizes, bits, comps))]
-            visit = lambda i, j: met.add((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))  # noqa: B023, E731
+            mark = group.column("mark")[0].as_py()
+            interval, loose = mark & _INTERVAL_BITS, mark & _LOOSE
+            own = np.searchsorted(end, sizes).tolist()
+
+            def visit(i, j):
+                if min(own[i], own[j]) != interval:  # the pair meets in another, too
+                    return
+                need = int(most[interval]) + 1 - (sizes[i] + sizes[j]) * (100 - percent) // (100 + percent)
+                met[min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), need] += 1 << 32 if loose else 1
+
             apart = lambda p, q: p.classes is None or p.classes != q.classes
             if cross:
                 halves = [[x for x in leaves if sides[x.item] == s] for s in sorted(set(sides))]
@@ -342,7 +361,8 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
         if met:
             yield flush()
 
-    return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long").distinct()
+    met = rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long, need long, parts long")
+    return met.groupBy("a", "b", "need").agg(F.sum("parts").alias("parts")).where("parts >= need").select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -378,15 +398,21 @@ def membership(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: i
     first = components(edges)
 
     # steps 3 and 4: parts that join components
-    labelled = nodes.join(first, "node", "left").select("node", "s1", F.coalesce("component", "node").alias("component"))
-    parts = stored(shared_parts(docs, text, k, percent).join(labelled, "s1").select("sig", "node", "component"), "parts")
+    labelled = nodes.join(first, "node", "left").select("node", "s1", "n", F.coalesce("component", "node").alias("component"))
+    parts = stored(shared_parts(docs, text, k, percent).join(labelled, "s1").select("sig", "node", "n", "component"), "parts")
     joining = parts.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
     rows = parts.join(joining.where("low <> high").select("sig", "size"), "sig").dropDuplicates(["sig", "node"])
+    rows = stored(rows.withColumn("mark", F.col("sig").bitwiseAND(255).cast("int")).withColumn("interval", F.col("mark").bitwiseAND(_INTERVAL_BITS)), "joining")
+    enough = rows.groupBy("node", "interval", "n").agg(F.sum(F.when(F.col("mark") >= _LOOSE, 1 << 32).otherwise(1)).alias("parts"))
+    end, _, most = (F.get(F.array(*[F.lit(int(x)) for x in column]), F.col("interval")) for column in intervals(percent))
+    widest = F.when(F.col("n") <= end, F.floor(F.col("n") * 100 / percent)).otherwise(end)  # of its partners in the interval
+    need = most + 1 - F.floor((F.col("n") + widest) * (100 - percent) / (100 + percent))
+    rows = rows.join(enough.where(F.col("parts") >= need).select("node", "interval"), ["node", "interval"])
     chunks = F.ceil(F.col("size") / GROUP_NODES)
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
     group = F.xxhash64("sig", F.least("side", "other"), F.greatest("side", "other"))
-    rows = rows.select(group.alias("g"), "node", "component", "side", (F.col("side") != F.col("other")).alias("cross"))
-    rows = rows.join(nodes.select("node", "n", "bits"), "node")
+    rows = rows.select(group.alias("g"), "node", "n", "component", "mark", "side", (F.col("side") != F.col("other")).alias("cross"))
+    rows = rows.join(nodes.select("node", "bits"), "node")
     pairs = stored(candidates_by_bits(rows, percent), "pairs")
     some = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node").select("node", "key", "s1")
     sets = stored(whole_sets(docs, key, text, k, stored(some, "some")).dropDuplicates(["node"]), "sets")
@@ -441,8 +467,11 @@ def one_per_group(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k
     checked = marked.mapInArrow(signed, wide)
     met = F.col(key).eqNullSafe(F.col("_near_key")) & (F.col("_near_s1") == F.col("_near_1")) & (F.col("_near_s2") == F.col("_near_2"))
     checked = checked.join(contested, met, "left").where("_near_stays IS NULL OR _near_stays")
+    single = marked.mapInArrow(clear, docs.schema).unionByName(checked.where("_near_stays IS NULL").select(names))
+    if contested.where("_near_stays").isEmpty():  # no key stands at several rows of one set
+        return single
     several = checked.where("_near_stays").groupBy(key, "_near_1", "_near_2").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), text).alias("_near_row"))
-    return marked.mapInArrow(clear, docs.schema).unionByName(checked.where("_near_stays IS NULL").select(names)).unionByName(several.select("_near_row.*"))
+    return single.unionByName(several.select("_near_row.*"))
 
 
 def op4_ngram_join(spark, sf_dir: str) -> DataFrame:
