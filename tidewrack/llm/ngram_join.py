@@ -17,7 +17,9 @@ Documents with equal sets are one node; all work is on nodes.
    they share as many as they must: of over K parts at most as many differ as
    shingles may, and for most sizes these are fewer than K.  They meet by bitmap in a signature tree, again only across components;
    groups too large for a task are met in pairs of chunks.  Pairs that may be
-   similar are then compared by whole sets.
+   similar are then compared by whole sets: first each component's likeliest pair,
+   and after the components that this links have been joined, all pairs that are
+   still of different ones.
 5. Components of all links.
 
 Step 2 is a short cut; steps 3 to 5 would find the same components without it.
@@ -317,7 +319,7 @@ def link_by_sets(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of nodes of different components that may be similar, from groups g of node, n, component, bits, side, cross, mark.
+    """Pairs a, b of nodes of different components ca, cb that may be similar, and the parts that they share (single shingles count more), from groups g of node, n, component, bits, side, cross, mark.
 
     A group holds the nodes that share a part, whose signature ends in `mark`.
     """
@@ -329,7 +331,7 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
         def flush():
             columns = [pa.array(x, pa.int64()) for x in (*zip(*met), met.values())]
             met.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "need", "parts"])
+            return pa.RecordBatch.from_arrays(columns, names=["a", "b", "ca", "cb", "need", "parts"])
 
         for group in _groups(batches):
             comps = group.column("component").to_pylist()
@@ -346,7 +348,9 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
                 if min(own[i], own[j]) != interval:  # the pair meets in another, too
                     return
                 need = int(most[interval]) + 1 - (sizes[i] + sizes[j]) * (100 - percent) // (100 + percent)
-                met[min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), need] += 1 << 32 if loose else 1
+                if nodes[i] > nodes[j]:
+                    i, j = j, i
+                met[nodes[i], nodes[j], comps[i], comps[j], need] += 1 << 32 if loose else 1
 
             apart = lambda p, q: p.classes is None or p.classes != q.classes
             if cross:
@@ -361,8 +365,8 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
         if met:
             yield flush()
 
-    met = rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long, need long, parts long")
-    return met.groupBy("a", "b", "need").agg(F.sum("parts").alias("parts")).where("parts >= need").select("a", "b")
+    met = rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long, ca long, cb long, need long, parts long")
+    return met.groupBy("a", "b", "ca", "cb", "need").agg(F.sum("parts").alias("parts")).where("parts >= need").drop("need")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -414,12 +418,27 @@ def membership(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: i
     rows = rows.select(group.alias("g"), "node", "n", "component", "mark", "side", (F.col("side") != F.col("other")).alias("cross"))
     rows = rows.join(nodes.select("node", "bits"), "node")
     pairs = stored(candidates_by_bits(rows, percent), "pairs")
-    some = nodes.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node").select("node", "key", "s1")
-    sets = stored(whole_sets(docs, key, text, k, stored(some, "some")).dropDuplicates(["node"]), "sets")
+
+    def links(some_pairs: DataFrame) -> DataFrame:
+        some = nodes.join(some_pairs.select(F.col("a").alias("node")).union(some_pairs.select("b")).distinct(), "node").select("node", "key", "s1")
+        sets = stored(whole_sets(docs, key, text, k, stored(some, "some")).dropDuplicates(["node"]), "sets")
+        return stored(verified(some_pairs, sets, percent), "links")
+
+    both = pairs.select(F.col("ca").alias("c"), "a", "b", "parts").union(pairs.select("cb", "a", "b", "parts"))
+    likeliest = both.groupBy("c").agg(F.max(F.struct("parts", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
+    likeliest = stored(likeliest, "likeliest")
+    if not likeliest.isEmpty():
+        edges = edges.union(links(likeliest))
+        first = components(edges)
+        label = lambda c: first.select(F.col("node").alias(c), F.col("component").alias(f"now_{c}"))
+        rest = pairs.join(likeliest, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
+        rest = stored(rest.where(~F.coalesce("now_a", "a").eqNullSafe(F.coalesce("now_b", "b"))).select("a", "b"), "rest")
+        if not rest.isEmpty():
+            edges = edges.union(links(rest))
+            first = components(edges)
 
     # step 5
-    last = components(edges.union(verified(pairs, sets, percent)))
-    named = nodes.join(last, "node", "left").select("s1", "s2", "n", "key", F.coalesce("component", "node").alias("component"))
+    named = nodes.join(first, "node", "left").select("s1", "s2", "n", "key", F.coalesce("component", "node").alias("component"))
     return info.select("key", "n", "s1", "s2"), named
 
 
