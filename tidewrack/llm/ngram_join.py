@@ -19,7 +19,8 @@ Documents with equal sets are one node; all work is on nodes.
    groups too large for a task are met in pairs of chunks.  Pairs that may be
    similar are then compared by whole sets: first each component's likeliest pair,
    and after the components that this links have been joined, all pairs that are
-   still of different ones.
+   still of different ones.  Before whole sets are sent, bitmaps of whole sets
+   are compared.
 5. Components of all links.
 
 Step 2 is a short cut; steps 3 to 5 would find the same components without it.
@@ -369,6 +370,35 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("a", "b", "ca", "cb", "need").agg(F.sum("parts").alias("parts")).where("parts >= need").drop("need")
 
 
+def possible_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b whose whole sets (node, n, shingles) may be alike by bitmaps of two to four places a shingle, a thirtieth of the sets."""
+
+    def sketch(batches):
+        for batch in batches:
+            bits = []
+            for x in batch.column("shingles"):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                flags = np.zeros(1 << max(6, (2 * len(x) - 1).bit_length()), dtype=bool)
+                flags[x & np.uint64(len(flags) - 1)] = True
+                bits.append(np.packbits(flags, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("n"), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
+
+    def judge(batches):
+        for batch in batches:
+            may = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "bitsa", "bitsb"))):
+                x, y = (np.unpackbits(np.frombuffer(z, np.uint8), bitorder="little") for z in (x, y))
+                width = min(len(x), len(y))
+                x, y = (z.reshape(-1, width).any(axis=0) for z in (x, y))
+                most = int((x & y).sum()) + min(n - int(x.sum()), m - int(y.sum()))
+                may.append((100 + percent) * most >= percent * (n + m))
+            yield batch.select(["a", "b"]).filter(pa.array(may, pa.bool_()))
+
+    sketches = sets.select("node", "n", "shingles").mapInArrow(sketch, "node long, n long, bits binary")
+    one, two = (sketches.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(judge, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose sets (node, n, shingles) are alike."""
     one, two = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
@@ -422,7 +452,7 @@ def membership(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: i
     def links(some_pairs: DataFrame) -> DataFrame:
         some = nodes.join(some_pairs.select(F.col("a").alias("node")).union(some_pairs.select("b")).distinct(), "node").select("node", "key", "s1")
         sets = stored(whole_sets(docs, key, text, k, stored(some, "some")).dropDuplicates(["node"]), "sets")
-        return stored(verified(some_pairs, sets, percent), "links")
+        return stored(verified(stored(possible_pairs(some_pairs, sets, percent), "possible"), sets, percent), "links")
 
     both = pairs.select(F.col("ca").alias("c"), "a", "b", "parts").union(pairs.select("cb", "a", "b", "parts"))
     likeliest = both.groupBy("c").agg(F.max(F.struct("parts", "a", "b")).alias("x")).select("x.a", "x.b").distinct()
