@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 
 from tidewrack.llm import toxicity as X
@@ -16,6 +18,9 @@ def test_grammar_tells_kinds_of_clauses_apart():
     assert of("no. idiot") == {"insult bare"}
     assert of("idiotic idioms") == of("") == set()
     assert g.marks("scum " * 9)["insult", "bare"] == 9
+    assert g.marks("idiot moron scum trash you") == {("insult", "directed"): 4}
+    assert g.marks("You scum trash, idiot; moron clown") == {("insult", "directed"): 3, ("insult", "bare"): 2}
+    assert of("not an idiot, you") == {"insult negated"}
 
 
 def docs_of(spark, data):
@@ -44,6 +49,32 @@ def test_without_labels_or_rows(spark):
     assert X.score(docs, grammar, weights).count() == 0
 
 
+def test_scores_against_plain_reading(spark):
+    """Marks of every text by another route: clause by clause, without machines."""
+    def plain(g, text):
+        found = Counter()
+        clause = []
+        for w in [*X._TOKEN.findall((text or "").lower()), "."]:
+            if w not in X._CLAUSE_ENDS:
+                clause.append(w)
+                continue
+            kinds = ["quote" if x in X._QUOTES else g.of(x)[0] for x in clause]
+            held = [g.of(x)[1] for x, k in zip(clause, kinds) if k in ("insult", "threat")]
+            for i, k in enumerate(kinds):
+                if k in ("insult", "threat"):
+                    near = [j for j in range(i) if kinds[j] == "negation"]
+                    how = "negated" if near and i - near[-1] <= 4 else "reported" if {"reported", "quote"} & set(kinds[:i]) else "directed" if "target" in kinds else "bare"
+                    found[k, how] += max(held)
+            clause = []
+        return found
+
+    sf = "/root/testdata/sf0.01"
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    g = X.Grammar({"the": 0.5, "und": 0.25}, {"ingt": 2.0})
+    for text in texts[:300]:
+        assert g.marks(text) == plain(g, text)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     want = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}

@@ -1,11 +1,13 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult, threat, target, negation, reported speech,
-quotation mark, other).  Three small transducers rewrite a clause's symbols:
-negation marks an insult or threat that a negation precedes closely; reported
-speech marks one that is quoted or told; target tells those aimed at somebody in
-the same clause from the rest.  They are composed once into one machine, which
-runs over a clause and emits marks such as ("insult", "directed").  A clause's
+quotation mark, other).  Small transducers rewrite a clause's symbols: the first
+runs from the clause's end to its start and marks an insult or threat that a
+target follows; of the others, which are composed once into one machine that
+runs forward, negation marks an insult or threat that a negation precedes
+closely, reported speech one that is quoted or told, and target tells those aimed
+at somebody in the same clause from the rest.  The machine emits marks such as
+("insult", "directed").  A clause's
 marks, times the strengths of their words, are what a text is scored by: log
 sums per kind of mark go into a logistic function.
 
@@ -13,11 +15,13 @@ Learned from labelled texts: further insults (words, and word beginnings, that
 labelled-toxic texts hold in several different contexts and clean ones hardly
 do; contexts, since copies of one text repeat words but not contexts) and the
 weights of the marks, which start from the grammar's own and are moved by the
-data (a Gaussian prior).  At most about `SAMPLE` labelled texts are used, chosen by a hash
-of the text, so the lexicon and the weights that are sent to tasks are bounded.
+data (a Gaussian prior).  At most about `SAMPLE` labels are used, chosen by a hash
+of their id, so the lexicon and the weights that are sent to tasks are bounded.
 
 Defined cases: a null or empty text has no clause and gets the base score;
-repeated labels or rows are rows of their own; null labels are not learned from;
+of equal labels of an id one counts, and of different ones each; rows that share
+an id share its labels; null labels are not learned from; a very long text is one
+more text, whose clauses are run one by one;
 without labels the grammar's own weights stand; an empty table gives an empty
 result; other columns pass through, and `score` and `marks` replace columns of
 the same name.
@@ -70,7 +74,7 @@ def _negation(state: int, symbol):
         return 4, (symbol,)
     if symbol == "end":
         return 0, (symbol,)
-    out = f"negated {symbol}" if state and symbol in ("insult", "threat") else symbol
+    out = f"negated {symbol}" if state and symbol.startswith(("insult", "threat")) else symbol
     return max(0, state - 1), (out,)
 
 
@@ -79,30 +83,36 @@ def _reported(state: int, symbol):
         return 1, (symbol,)
     if symbol == "end":
         return 0, (symbol,)
-    return state, (f"reported {symbol}" if state and symbol in ("insult", "threat") else symbol,)
+    return state, (f"reported {symbol}" if state and symbol.startswith(("insult", "threat")) else symbol,)
 
 
-def _target(state: tuple, symbol):
-    """state: whether a target was seen, and the insults and threats still waiting for one (up to three)."""
-    seen, waiting = state
+def _ahead(state: int, symbol):
+    """Runs from a clause's end to its start, and marks an insult or threat that a target follows."""
     if symbol == "target":
-        return (True, ()), tuple((kind, "directed") for kind in waiting)
+        return 1, (symbol,)
+    if symbol == "end":
+        return 0, (symbol,)
+    return state, (f"{symbol} ahead" if state and symbol in ("insult", "threat") else symbol,)
+
+
+def _target(state: int, symbol):
+    """state: whether a target was seen."""
+    if symbol == "target":
+        return 1, ()
     if symbol == "end":
-        return (False, ()), tuple((kind, "bare") for kind in waiting)
-    if symbol in ("insult", "threat"):
-        if seen:
-            return state, ((symbol, "directed"),)
-        if len(waiting) == 3:
-            return (False, (*waiting[1:], symbol)), ((waiting[0], "bare"),)
-        return (False, (*waiting, symbol)), ()
-    how, _, kind = symbol.partition(" ")
-    return state, ((kind, how),) if kind in ("insult", "threat") else ()
+        return 0, ()
+    words = symbol.split(" ")
+    how = next((w for w in words if w in ("negated", "reported")), None)
+    kind = next((w for w in words if w in ("insult", "threat")), None)
+    if kind is None:
+        return state, ()
+    return state, ((kind, how or ("directed" if state or "ahead" in words else "bare")),)
 
 
 def compose(*machines):
     """One table (state, symbol) -> (state, marks) of the machines in a row, over all states that can be reached."""
     steps, start = [m for m, _ in machines], tuple(s for _, s in machines)
-    symbols = (*LEXICON, "quote", "other", "end")
+    symbols = (*LEXICON, "insult ahead", "threat ahead", "quote", "other", "end")
     table, todo = {}, deque([start])
     while todo:
         state = todo.popleft()
@@ -121,7 +131,7 @@ def compose(*machines):
     return start, table
 
 
-START, TABLE = compose((_negation, 0), (_reported, 0), (_target, (False, ())))
+START, TABLE = compose((_negation, 0), (_reported, 0), (_target, 0))
 
 
 class Grammar:
@@ -159,9 +169,11 @@ class Grammar:
                 continue
             held = [read[x][1] for x in clause if x in read and read[x][0] in ("insult", "threat")]
             if held:
-                state, strongest = START, max(held)
-                for x in (*clause, None):
-                    symbol = "end" if x is None else "quote" if x in _QUOTES else read.get(x, ("other",))[0]
+                state, strongest, after, symbols = START, max(held), 0, ["end"]
+                for x in reversed(clause):
+                    after, out = _ahead(after, "quote" if x in _QUOTES else read.get(x, ("other",))[0])
+                    symbols += out
+                for symbol in reversed(symbols):
                     state, out = TABLE[state, symbol]
                     for mark in out:
                         found[mark] += strongest
