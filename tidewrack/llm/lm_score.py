@@ -1,28 +1,38 @@
-"""Language-model scores by a weighted backoff automaton over word pairs.
-
-States are the words seen in training (and a start state); each has an arc for
-every word seen after it, weighted log10 of (c(u w) + mu * p(w)) / (c(u) + mu),
-and a failure arc of weight log10 of mu / (c(u) + mu) to the empty state, whose
-arcs are p(w) = (c(w) + 1) / (N + V + 1), also for words never seen.  (These are
-add-one smoothed word counts inside Dirichlet-smoothed pair counts; both sum to
-one.)  A text is walked once from left to right: the state is the last word,
-each word takes its arc or the failure arc and the empty state's, and the
-weights add up.  An end symbol is a word like the others, and the last.
+"""Language-model scores by a weighted backoff automaton over n-grams.
+
+States are the contexts of up to `order` - 1 words seen in training, among them
+the start of a text and the empty context.  A state h has an arc for every word
+w seen after it, of weight log10 of (c(h w) + mu * p(w | h')) / (c(h) + mu), to
+the longest end of h w that is a state; h' is h without its first word.  Its
+failure arc, of weight log10 of mu / (c(h) + mu), leads to h'.  The arcs of the
+empty state weigh p(w) = (c(w) + 1) / (N + V + 1), also for words never seen.
+(These are Dirichlet-smoothed counts over add-one smoothed word counts; each
+state's arcs, with those its failure arc leads to, sum to one.)  A text is
+traversed once from left to right: it carries the state, follows failure arcs
+until the state has an arc for the word, and adds up the weights of all arcs
+taken.  An end symbol is a word like the others, and the last.
 
 No task holds the whole automaton.  Documents are dealt to blocks of about
-`BLOCK_BYTES` of text.  A block lists its distinct words and pairs, as sorted
-64-bit hashes with its training counts, and sends a slice of the list to each
-range of hashes; there the blocks' counts are added up, and each block gets the
-totals for the slice that it sent, in the same order.  That is the part of the
-automaton that its documents can touch, and it scores them.  What is shuffled
-grows with the corpus; a word that all documents hold is one entry per block.
-Slices shrink as blocks and ranges grow in number: beyond a few terabytes, give
-larger blocks.
+`BLOCK_BYTES` of text.  A block lists its distinct n-grams, as sorted 63-bit
+hashes with its training counts, and sends a slice of the list to each of `FAN`
+ranges of hashes.  There the counts of up to `FAN` blocks are added up; where
+there are more blocks, the sums are cut in `FAN` finer slices each and meet the
+sums of other groups of blocks, and so on.  So a task never adds up more than
+about one block's worth, and rows grow in proportion to the blocks (times the
+number of such levels, the logarithm of the blocks to base `FAN`).  Totals come
+back the same way, and each block builds the states and arcs that its documents
+can touch.  N and V come along as sums over ranges.
+
+In a block all texts are traversed together, in lanes of `LANE` words, each
+started `order` - 1 words early from the empty state: the state depends on no
+more words than that, so a lane starts with the state that the text has there.
 
 Defined cases: a null text is empty and is the end symbol alone; a null
 training mark counts as held out; repeated rows are rows of their own; an empty
-table gives an empty result; without training rows every word has p = 1;
-other columns pass through, and the added columns replace any of the same name.
+table gives an empty result; without training rows every word has p = 1; a very
+long text is one block's, held whole in memory some thirty times its size; other
+columns pass through, and the added columns replace any of the same name, as do
+`_lm_train` and `_lm_block`, which are then dropped.
 """
 
 from __future__ import annotations
@@ -38,60 +48,69 @@ from pyspark.sql import types as T
 from . import tokens
 from .common import crc_bucket, crc_bucket_sql
 
-#: Text per block; a task holds a block's texts and its part of the automaton, about ten times as much.
-BLOCK_BYTES = 16 << 20
-#: Text per range of hashes; a task adds up the counts of one range, about as many entries as a tenth of this.
-RANGE_BYTES = 20 << 20
+#: Text per block; a task holds a block's texts and its part of the automaton.
+BLOCK_BYTES = 8 << 20
+#: Blocks whose counts meet in one task, and ranges of hashes that a list is cut in.
+FAN = 64
+#: Words that a lane of the traversal scores.
+LANE = 256
+ORDER = 3
 MU = 30.0
 _START, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
+_ODD = np.uint64(1)
 ADDED = T.StructType(
     [T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType())]
     + [T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
 )
 _OWN = ("_lm_train", "_lm_block")
+_COUNTS = "node int, slice long, keys binary, counts binary"
+_TOTALS = "node int, slice long, totals binary, vocabulary long, tokens long"
 
 
-def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each document's words and its end, as hashes; the state before each; the document of each."""
-    n = len(offsets) - 1
-    start, end, doc = tokens.words(data, offsets)
-    symbol = np.full(len(start) + n, _END, dtype=np.uint64)
-    symbol[np.arange(len(start)) + doc] = tokens.word_hashes(data, start, end)
-    size = np.bincount(doc, minlength=n) + 1
-    owner = np.repeat(np.arange(n), size)
-    state = np.empty_like(symbol)
-    state[1:] = symbol[:-1]
-    state[np.cumsum(size) - size] = _START
-    return symbol, state, owner
-
-
-def pairs(state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    return tokens.mix((state ^ (state >> np.uint64(31))) * tokens._BASE + symbol)
-
-
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, with their counts added up."""
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    key, count = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(key)
-    key, count = key[order], count[order]
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], np.add.reduceat(count, first) if len(first) else count
-
-
-def block_counts(column: pa.ChunkedArray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' distinct words and pairs, and how often training texts among them hold each."""
+def symbols(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A start, the words and an end of each document, as hashes; each one's place in its document; its document."""
     data, offsets = tokens.bytes_of(column)
-    keys, counts = [], []
+    n = len(offsets) - 1
+    found, size = [], np.zeros(n, np.int64)
     for a, b in tokens.chunks(offsets):
-        symbol, state, owner = symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-        weight = train[a:b][owner].astype(np.int64)
-        for key in (symbol, pairs(state, symbol)):
-            k, c = _added([key], [weight])
-            keys.append(k)
-            counts.append(c)
-    return _added(keys, counts)
+        start, end, doc = tokens.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        hashes = tokens.word_hashes(data[offsets[a] : offsets[b]], start, end)
+        size[a:b] = np.bincount(doc, minlength=b - a)
+        symbol = np.full(len(hashes) + 2 * (b - a), _END, np.uint64)
+        symbol[np.arange(len(hashes)) + 2 * doc + 1] = hashes
+        symbol[np.cumsum(size[a:b] + 2) - size[a:b] - 2] = _START
+        found.append(symbol)
+    owner = np.repeat(np.arange(n), size + 2)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(size + 2) - size - 2, size + 2)
+    return np.concatenate(found) if found else np.zeros(0, np.uint64), place, owner
+
+
+def levels(symbol: np.ndarray, place: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For n = 1 to order: the distinct n-grams in order of hash, where each first ends, and which ends at each symbol (or -1).
+
+    Hashes of words are odd, all others even, the start's included.
+    """
+    out, key = [], symbol
+    for n in range(1, order + 1):
+        if n > 1:
+            before = key[:-1]
+            key = np.concatenate([key[:1], tokens.mix((before ^ (before >> np.uint64(31))) * tokens._BASE + symbol[1:])])
+        ends = np.flatnonzero(place >= n - 1)
+        hashed = key[ends] & ~_ODD
+        if n == 1:
+            hashed |= (place[ends] > 0).astype(np.uint64)
+        distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+        at = np.full(len(symbol), -1, np.int32)
+        at[ends] = which
+        out.append((distinct, ends[first], at))
+    return out
+
+
+def listed(grams: list) -> tuple[np.ndarray, np.ndarray]:
+    """All levels' hashes in one sorted list, and the order that sorts them."""
+    keys = np.concatenate([g[0] for g in grams])
+    order = np.argsort(keys)
+    return keys[order], order
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -104,103 +123,211 @@ def _unpack(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
-def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Where each of the equal ranges of hashes begins in sorted keys."""
-    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
-
-
-def _train_flags(column) -> np.ndarray:
-    return np.asarray(column.fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
-
-
-def score_texts(docs: DataFrame, train, *, text: str = "text", mu: float = MU, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _cuts(keys: np.ndarray, fan: int, depth: int, first: int = 0) -> np.ndarray:
+    """Where each of `fan` successive slices begins in sorted keys; there are fan ** depth slices of all hashes, and these begin with `first`."""
+    place = ((keys >> np.uint64(32)) * np.uint64(fan**depth)) >> np.uint64(32)
+    return np.searchsorted(place, np.arange(first, first + fan + 1, dtype=np.uint64))
+
+
+def _train_flags(table: pa.Table) -> np.ndarray:
+    return np.asarray(table.column("_lm_train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
+
+
+def _slices(node: int, first: int, cuts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Table:
+    parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
+    return pa.table(
+        {
+            "node": pa.array(np.full(len(parts), node), pa.int32()),
+            "slice": pa.array(np.arange(first, first + len(parts)), pa.int64()),
+            "keys": pa.array([_pack(keys[x]) for x in parts], pa.binary()),
+            "counts": pa.array([_pack(counts[x]) for x in parts], pa.binary()),
+        }
+    )
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of all rows, their counts added up, which of them each key of a row is, and where rows end."""
+    keys = [_unpack(x.as_py(), np.uint64) for x in table.column("keys")]
+    distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, which, np.concatenate([_unpack(x.as_py(), np.int64) for x in table.column("counts")]))
+    return distinct, total, which, np.cumsum([len(k) for k in keys])[:-1]
+
+
+def _answer(table: pa.Table, values: np.ndarray, ends: np.ndarray, vocabulary: int, seen: int) -> pa.Table:
+    whole = np.split(values, ends)
+    return pa.table(
+        {
+            "node": table.column("node"),
+            "slice": table.column("slice"),
+            "totals": pa.array([_pack(x) for x in whole], pa.binary()),
+            "vocabulary": pa.array(np.full(len(whole), vocabulary), pa.int64()),
+            "tokens": pa.array(np.full(len(whole), seen), pa.int64()),
+        }
+    )
+
+
+def totals(rows: DataFrame, nodes: int, fan: int, depth: int = 1) -> DataFrame:
+    """For each row of counts (columns of _COUNTS, slices of `depth`) the totals over all nodes, with the range's words and tokens."""
+    rows = rows.withColumn("parent", F.expr(f"cast(node div {fan} AS int)"))
+
+    def finish(table: pa.Table) -> pa.Table:
+        distinct, total, which, ends = _added(table)
+        words = total[(distinct & _ODD) == _ODD]
+        return _answer(table, total[which], ends, np.count_nonzero(words), words.sum())
+
+    if nodes <= fan:
+        return rows.groupBy("parent", "slice").applyInArrow(finish, _TOTALS)
+
+    def merge(table: pa.Table) -> pa.Table:
+        distinct, total, _, _ = _added(table)
+        first = table.column("slice")[0].as_py() * fan
+        return _slices(table.column("parent")[0].as_py(), first, _cuts(distinct, fan, depth + 1, first), distinct, total)
+
+    def spread(table: pa.Table, answers: pa.Table) -> pa.Table:
+        distinct, total, which, ends = _added(table)
+        first = table.column("slice")[0].as_py() * fan
+        cuts = _cuts(distinct, fan, depth + 1, first)
+        for i, x in zip(answers.column("slice").to_pylist(), answers.column("totals")):
+            total[cuts[i - first] : cuts[i - first + 1]] = _unpack(x.as_py(), np.int64)
+        return _answer(table, total[which], ends, sum(answers.column("vocabulary").to_pylist()), sum(answers.column("tokens").to_pylist()))
+
+    merged = rows.groupBy("parent", "slice").applyInArrow(merge, _COUNTS)
+    above = totals(merged, math.ceil(nodes / fan), fan, depth + 1).withColumn("coarse", F.expr(f"slice div {fan}"))
+    return rows.groupBy("parent", "slice").cogroup(above.groupBy("node", "coarse")).applyInArrow(spread, _TOTALS)
+
+
+class Automaton:
+    """States, arcs and failure arcs over the n-grams of a block that training texts hold.
+
+    State 0 is the empty context; the gram number g of level n is state
+    base[n] + g.  Arcs are sorted by state and word; those of the empty state are
+    arrays by word, since it has one for every word.
+    """
+
+    def __init__(self, grams: list, counts: list[np.ndarray], mu: float, floor: float):
+        order = len(grams)
+        base = np.concatenate([[0, 1], 1 + np.cumsum([len(g[0]) for g in grams])])  # base[n] for level n
+        self.words = len(grams[0][0])
+        p = (counts[0] + 1) / floor
+        self.empty_weight = np.log10(p)
+        self.empty_next = np.where(counts[0] > 0, base[1] + np.arange(self.words), 0) if order > 1 else np.zeros(self.words, np.int64)
+        fail_to, fail_weight, keys, weights, nexts = [np.zeros(1, np.int64)], [np.zeros(1)], [], [], []
+        for n in range(1, order + 1):
+            _, first, at = grams[n - 1]
+            shorter = base[n - 1] + grams[n - 2][2][first] if n > 1 else np.zeros(self.words, np.int64)
+            if n > 1:
+                context = grams[n - 2][2][first - 1]
+                p = (counts[n - 1] + mu * p[grams[n - 2][2][first]]) / (counts[n - 2][context] + mu)
+                seen = counts[n - 1] > 0
+                keys.append(((base[n - 1] + context) * self.words + grams[0][2][first])[seen])
+                weights.append(np.log10(p[seen]))
+                nexts.append((base[n] + np.arange(len(first)) if n < order else shorter)[seen])
+            if n < order:
+                fail_to.append(shorter)
+                fail_weight.append(np.log10(mu / (counts[n - 1] + mu)))
+        self.fail_to, self.fail_weight = np.concatenate(fail_to), np.concatenate(fail_weight)
+        keys, weights, nexts = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, weights, nexts))
+        by = np.argsort(keys)
+        self.arcs, self.weight, self.next = keys[by], weights[by], nexts[by]
+        self.start = base[1] + grams[0][2][0] if order > 1 and len(grams[0][2]) else 0  # a block's first symbol is a start
+        self.warm = order - 1
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one word from each state, and the weights of all arcs taken."""
+        state, after, weight = state.copy(), np.empty_like(state), np.zeros(len(state))
+        open_ = np.arange(len(state))
+        while len(open_):
+            s, w = state[open_], word[open_]
+            at_end = s == 0
+            done = open_[at_end]
+            weight[done] += self.empty_weight[w[at_end]]
+            after[done] = self.empty_next[w[at_end]]
+            open_, s, w = open_[~at_end], s[~at_end], w[~at_end]
+            key = s * self.words + w
+            arc = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1) if len(self.arcs) else np.zeros(len(key), np.int64)
+            has = self.arcs[arc] == key if len(self.arcs) else np.zeros(len(key), bool)
+            weight[open_[has]] += self.weight[arc[has]]
+            after[open_[has]] = self.next[arc[has]]
+            open_ = open_[~has]
+            weight[open_] += self.fail_weight[s[~has]]
+            state[open_] = self.fail_to[s[~has]]
+        return after, weight
+
+    def traverse(self, word: np.ndarray, place: np.ndarray, owner: np.ndarray, n: int, lane: int = LANE) -> np.ndarray:
+        """The sum of weights of each of n documents."""
+        begins = np.flatnonzero((place > 0) & ((place - 1) % lane == 0))  # first word that each lane scores
+        stops = np.append(begins[1:], len(word))
+        stops -= np.append(place[begins[1:]] == 1, [False])  # the start of the next document
+        early = np.minimum(self.warm, place[begins] - 1)
+        by = np.argsort(begins - early - stops, kind="stable")  # longest first
+        begins, stops, early = begins[by], stops[by], early[by]
+        at, length = begins - early, stops - begins + early
+        state = np.where(place[at] == 1, self.start, 0)
+        total = np.zeros(len(at), np.longdouble)
+        for i in range(int(length[0]) if len(length) else 0):
+            live = np.searchsorted(-length, -i, side="left")  # lanes longer than i
+            state[:live], weight = self.step(state[:live], word[at[:live] + i])
+            total[:live] += np.where(i < early[:live], 0.0, weight)
+        out = np.zeros(n, np.longdouble)
+        np.add.at(out, owner[begins], total)
+        return out
+
+
+def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDER, mu: float = MU, block_bytes: int = BLOCK_BYTES, fan: int = FAN, lane: int = LANE) -> DataFrame:
     """docs with the columns of ADDED; `train` is a boolean Column that marks the texts to learn from."""
     names = {*ADDED.fieldNames(), *_OWN}
     docs = docs.select([c for c in docs.columns if c not in names])
     kept = docs.schema.fields
     docs = docs.withColumn("_lm_train", train)
-
-    def vocabulary(batches):
-        for batch in batches:
-            data, offsets = tokens.bytes_of(batch.column("text"))
-            flags = _train_flags(batch.column("train"))
-            for a, b in tokens.chunks(offsets):
-                symbol, _, owner = symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                symbol = symbol[flags[a:b][owner]]
-                key, n = _added([symbol], [np.ones(len(symbol), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
-        tokens.release()
-
-    words = docs.select(F.col(text).alias("text"), F.col("_lm_train").alias("train")).mapInArrow(vocabulary, "key long, n long")
-    words = words.groupBy("key").agg(F.sum("n").alias("n")).agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    sizes = docs.agg(F.sum(F.octet_length(text)).alias("bytes"), F.count(F.when(F.col("_lm_train"), 1)).alias("train")).first()
-    total, distinct, starts = words.n or 0, words.v, sizes.train
-    blocks = max(1, math.ceil((sizes.bytes or 0) / block_bytes))
-    ranges = max(1, math.ceil((sizes.bytes or 0) / RANGE_BYTES))
-
+    size = docs.agg(F.sum(F.octet_length(text)).alias("bytes")).first().bytes or 0
+    blocks = max(1, math.ceil(size / block_bytes))
     block = F.pmod(F.xxhash64(*[f.name for f in kept if f.name != text and isinstance(f.dataType, T.AtomicType)], F.octet_length(text)), F.lit(blocks)).cast("int")
     dealt = docs.withColumn("_lm_block", block)
 
+    def local_counts(grams: list, flags: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        known = flags[owner]
+        return np.concatenate([np.bincount(at[known & (at >= 0)], minlength=len(keys)) for keys, _, at in grams])
+
     def state_counts(table: pa.Table) -> pa.Table:
-        keys, counts = block_counts(table.column(text), _train_flags(table.column("_lm_train").combine_chunks()))
-        cuts = _cuts(keys, ranges)
-        some = np.flatnonzero(np.diff(cuts))
-        slices = [slice(cuts[i], cuts[i + 1]) for i in some]
-        return pa.table(
-            {
-                "range": pa.array(some, pa.int32()),
-                "block": pa.array(np.full(len(some), table.column("_lm_block")[0].as_py()), pa.int32()),
-                "keys": pa.array([_pack(keys[x]) for x in slices], pa.binary()),
-                "counts": pa.array([_pack(counts[x]) for x in slices], pa.binary()),
-            }
-        )
+        symbol, place, owner = symbols(table.column(text))
+        grams = levels(symbol, place, order)
+        keys, by = listed(grams)
+        out = _slices(table.column("_lm_block")[0].as_py(), 0, _cuts(keys, fan, 1), keys, local_counts(grams, _train_flags(table), owner)[by])
+        del symbol, place, owner, grams, keys, by
+        tokens.release()
+        return out
 
     # (all columns, so that this and the walk below read one and the same shuffle)
-    stated = dealt.groupBy("_lm_block").applyInArrow(state_counts, "range int, block int, keys binary, counts binary")
-
-    def totals(table: pa.Table) -> pa.Table:
-        keys = [_unpack(x.as_py(), np.uint64) for x in table.column("keys")]
-        counts = [_unpack(x.as_py(), np.int64) for x in table.column("counts")]
-        size = [len(k) for k in keys]
-        _, place = np.unique(np.concatenate(keys), return_inverse=True)
-        added = np.zeros(place.max() + 1, dtype=np.int64)
-        np.add.at(added, place, np.concatenate(counts))
-        whole = np.split(added[place], np.cumsum(size)[:-1])
-        return pa.table({"_lm_block": table.column("block"), "range": table.column("range"), "totals": pa.array([_pack(x) for x in whole], pa.binary())})
-
-    answers = stated.groupBy("range").applyInArrow(totals, "_lm_block int, range int, totals binary")
+    stated = dealt.groupBy("_lm_block").applyInArrow(state_counts, _COUNTS)
+    answers = totals(stated, blocks, fan).withColumnRenamed("node", "_lm_block")
     schema = T.StructType([*kept, *ADDED.fields])
 
     def walk(table: pa.Table, answer: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema_table.slice(0, 0)
-        column, flags = table.column(text), _train_flags(table.column("_lm_train").combine_chunks())
-        keys, counts = block_counts(column, flags)
-        cuts = _cuts(keys, ranges)
-        for i, x in zip(answer.column("range").to_pylist(), answer.column("totals")):
-            counts[cuts[i] : cuts[i + 1]] = _unpack(x.as_py(), np.int64)
-        count_of = lambda key: counts[np.searchsorted(keys, key)]
-        floor = np.float64(total + distinct + 1)
-        out = {c: [] for c in ADDED.fieldNames()}
-        data, offsets = tokens.bytes_of(column)
-        for a, b in tokens.chunks(offsets):
-            symbol, state, owner = symbols(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            begins = np.searchsorted(owner, np.arange(b - a))
-            c = count_of(symbol)
-            known = np.empty(len(state), dtype=np.int64)
-            known[1:] = c[:-1]  # the state is the word before
-            known[begins] = starts
-            p = (c + 1) / floor
-            weight = np.log10((count_of(pairs(state, symbol)) + mu * p) / (known + mu))
-            add = lambda x: np.round(np.add.reduceat(x.astype(np.longdouble), begins).astype(float), 8)
-            size = np.diff(np.append(begins, len(symbol)))
-            found = (size, np.add.reduceat((c > 0).astype(np.int64), begins), np.full(b - a, total), add(np.log10(p)), add(weight))
-            for name, values in zip(out, found):
-                out[name].append(values)
-        columns = [*[table.column(f.name) for f in kept], *[pa.array(np.concatenate(v)) for v in out.values()]]
-        del keys, counts, data, symbol, state
+        n = table.num_rows
+        symbol, place, owner = symbols(table.column(text))
+        grams = levels(symbol, place, order)
+        keys, by = listed(grams)
+        cuts = _cuts(keys, fan, 1)
+        counts = np.zeros(len(keys), np.int64)
+        for i, x in zip(answer.column("slice").to_pylist(), answer.column("totals")):
+            counts[by[cuts[i] : cuts[i + 1]]] = _unpack(x.as_py(), np.int64)
+        counts = np.split(counts, np.cumsum([len(g[0]) for g in grams])[:-1])
+        seen = sum(answer.column("tokens").to_pylist())
+        automaton = Automaton(grams, counts, mu, np.float64(seen + sum(answer.column("vocabulary").to_pylist()) + 1))
+        word = grams[0][2].astype(np.int64)
+        score = automaton.traverse(word, place, owner, n, lane)
+        begins = np.flatnonzero(place == 0)
+        real = place > 0
+        base = np.add.reduceat(np.where(real, automaton.empty_weight[word], 0.0).astype(np.longdouble), begins)
+        found = (np.bincount(owner, minlength=n) - 1, np.bincount(owner[real & (counts[0][word] > 0)], minlength=n), np.full(n, seen))
+        found = [*found, *[np.round(x.astype(float), 8) for x in (base, score)]]
+        out = pa.table(dict(zip(schema.fieldNames(), [*[table.column(f.name) for f in kept], *map(pa.array, found)])))
+        del symbol, place, owner, grams, keys, by, counts, automaton, word
         tokens.release()
-        return pa.table(dict(zip(schema.fieldNames(), columns)))
+        return out
 
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -217,14 +344,18 @@ def op2_lm_score(spark, sf_dir: str) -> DataFrame:
 ORACLE_OP2 = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws,
     @held@ AS held_out FROM documents),
-t AS (SELECT r, held_out, unnest(list_concat(ws, [chr(10)])) AS w, unnest(list_concat([' '], ws)) AS u FROM d),
+t AS (SELECT r, held_out, unnest(list_concat(ws, [chr(10)])) AS w, unnest(list_concat([' '], ws)) AS u,
+      unnest(list_concat([NULL], list_concat([' '], ws)[1:len(ws)])) AS uu FROM d),
 c1 AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
 c2 AS (SELECT u, w, count(*) AS c FROM t WHERE NOT held_out GROUP BY u, w),
+c3 AS (SELECT uu, u, w, count(*) AS c FROM t WHERE NOT held_out AND uu IS NOT NULL GROUP BY uu, u, w),
 cu AS (SELECT w AS u, c FROM c1 UNION ALL SELECT ' ', count(*) FROM d WHERE NOT held_out),
 s AS (SELECT sum(c)::BIGINT AS n, count(*)::BIGINT AS v FROM c1),
-x AS (SELECT r, coalesce(c1.c, 0) AS c, coalesce(c2.c, 0) AS pair, coalesce(cu.c, 0) AS known, (coalesce(c1.c, 0) + 1) / (n + v + 1)::DOUBLE AS p, n
-      FROM t CROSS JOIN s LEFT JOIN c1 ON c1.w = t.w LEFT JOIN c2 ON c2.u = t.u AND c2.w = t.w LEFT JOIN cu ON cu.u = t.u),
+x AS (SELECT r, coalesce(c1.c, 0) AS c, coalesce(c3.c, 0) AS triple, coalesce(k2.c, 0) AS known2, (coalesce(c1.c, 0) + 1) / (n + v + 1)::DOUBLE AS p,
+             (coalesce(c2.c, 0) + @mu@ * p) / (coalesce(cu.c, 0) + @mu@) AS p2, n
+      FROM t CROSS JOIN s LEFT JOIN c1 ON c1.w = t.w LEFT JOIN c2 ON c2.u = t.u AND c2.w = t.w LEFT JOIN cu ON cu.u = t.u
+      LEFT JOIN c3 ON c3.uu = t.uu AND c3.u = t.u AND c3.w = t.w LEFT JOIN c2 AS k2 ON k2.u = t.uu AND k2.w = t.u),
 g AS (SELECT r, count(*) AS n_tokens, count(*) FILTER (c > 0) AS n_known, any_value(n) AS train_tokens,
-        round(fsum(log10(p)), 8) AS base_score, round(fsum(log10((pair + @mu@ * p) / (known + @mu@))), 8) AS score FROM x GROUP BY r)
+        round(fsum(log10(p)), 8) AS base_score, round(fsum(log10((triple + @mu@ * p2) / (known2 + @mu@))), 8) AS score FROM x GROUP BY r)
 SELECT doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score FROM g JOIN d USING (r)
 """.replace("@held@", crc_bucket_sql("doc_id", 7) + " = 2").replace("@mu@", str(MU))
