@@ -13,15 +13,17 @@ until the state has an arc for the word, and adds up the weights of all arcs
 taken.  An end symbol is a word like the others, and the last.
 
 No task holds the whole automaton.  Documents are dealt to blocks of about
-`BLOCK_BYTES` of text.  A block lists its distinct n-grams, as sorted 63-bit
-hashes with its training counts, and sends a slice of the list to each of `FAN`
-ranges of hashes.  There the counts of up to `FAN` blocks are added up; where
+`BLOCK_BYTES` of text.  A block lists its distinct words and pairs, as sorted
+63-bit hashes with its training counts, and sends a slice of the list to each of
+`FAN` ranges of hashes.  There the counts of up to `FAN` blocks are added up; where
 there are more blocks, the sums are cut in `FAN` finer slices each and meet the
 sums of other groups of blocks, and so on.  So a task never adds up more than
 about one block's worth, and rows grow in proportion to the blocks (times the
 number of such levels, the logarithm of the blocks to base `FAN`).  Totals come
 back the same way, and each block builds the states and arcs that its documents
-can touch.  N and V come along as sums over ranges.
+can touch.  N and V come along as sums over ranges.  Longer n-grams follow, a round for each length,
+but only where training texts of other blocks hold both n-grams of one word less
+inside; of the others the block has all there are, so its own count is the total.
 
 In a block all texts are traversed together, in lanes of `LANE` words, each
 started `order` - 1 words early from the empty state: the state depends on no
@@ -51,7 +53,7 @@ from .common import crc_bucket, crc_bucket_sql
 #: Text per block; a task holds a block's texts and its part of the automaton.
 BLOCK_BYTES = 8 << 20
 #: Blocks whose counts meet in one task, and ranges of hashes that a list is cut in.
-FAN = 64
+FAN = 4096
 #: Words that a lane of the traversal scores.
 LANE = 256
 ORDER = 3
@@ -64,6 +66,8 @@ ADDED = T.StructType(
 )
 _OWN = ("_lm_train", "_lm_block")
 _COUNTS = "node int, slice long, keys binary, counts binary"
+#: Levels sent in the first round; each later round sends one more.
+_FIRST = 2
 _TOTALS = "node int, slice long, totals binary, vocabulary long, tokens long"
 
 
@@ -106,11 +110,44 @@ def levels(symbol: np.ndarray, place: np.ndarray, order: int) -> list[tuple[np.n
     return out
 
 
-def listed(grams: list) -> tuple[np.ndarray, np.ndarray]:
-    """All levels' hashes in one sorted list, and the order that sorts them."""
-    keys = np.concatenate([g[0] for g in grams])
-    order = np.argsort(keys)
-    return keys[order], order
+class Block:
+    """The n-grams of a block's texts, with the counts of its training texts and, once they have come, the totals."""
+
+    def __init__(self, table: pa.Table, text: str, order: int):
+        self.symbol, self.place, self.owner = symbols(table.column(text))
+        self.grams = levels(self.symbol, self.place, order)
+        self.offset = np.concatenate([[0], np.cumsum([len(g[0]) for g in self.grams])])
+        train = table.column("_lm_train").combine_chunks().fill_null(False)
+        known = np.asarray(train.to_numpy(zero_copy_only=False), dtype=bool)[self.owner]
+        self.local = np.concatenate([np.bincount(at[known & (at >= 0)], minlength=len(keys)) for keys, _, at in self.grams])
+        self.total = self.local.copy()
+
+    def listed(self, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes that a round sends, sorted, and their numbers among all n-grams."""
+        if not turn:
+            picked = np.arange(self.offset[min(_FIRST, len(self.grams))])
+        else:
+            n = turn + _FIRST
+            first, shorter = self.grams[n - 1][1], self.grams[n - 2][2]
+            elsewhere = (self.total > self.local)[self.offset[n - 2] : self.offset[n - 1]]
+            picked = self.offset[n - 1] + np.flatnonzero(elsewhere[shorter[first - 1]] & elsewhere[shorter[first]])
+        keys = np.concatenate([g[0] for g in self.grams])[picked]
+        by = np.argsort(keys)
+        return keys[by], picked[by]
+
+    def send(self, node: int, turn: int, fan: int) -> pa.Table:
+        keys, picked = self.listed(turn)
+        return _slices(node, 0, _cuts(keys, fan, 1), keys, self.local[picked])
+
+    def receive(self, answer: pa.Table, turns: int, fan: int) -> None:
+        """Take the totals of the first `turns` rounds."""
+        turn_of = np.asarray(answer.column("round"))
+        for turn in range(turns):
+            keys, picked = self.listed(turn)
+            cuts = _cuts(keys, fan, 1)
+            part = answer.filter(pa.array(turn_of == turn))
+            for i, x in zip(part.column("slice").to_pylist(), part.column("totals")):
+                self.total[picked[cuts[i] : cuts[i + 1]]] = _unpack(x.as_py(), np.int64)
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -129,10 +166,6 @@ def _cuts(keys: np.ndarray, fan: int, depth: int, first: int = 0) -> np.ndarray:
     return np.searchsorted(place, np.arange(first, first + fan + 1, dtype=np.uint64))
 
 
-def _train_flags(table: pa.Table) -> np.ndarray:
-    return np.asarray(table.column("_lm_train").combine_chunks().fill_null(False).to_numpy(zero_copy_only=False), dtype=bool)
-
-
 def _slices(node: int, first: int, cuts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.Table:
     parts = [slice(a, b) for a, b in zip(cuts, cuts[1:])]
     return pa.table(
@@ -285,54 +318,50 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDE
     block = F.pmod(F.xxhash64(*[f.name for f in kept if f.name != text and isinstance(f.dataType, T.AtomicType)], F.octet_length(text)), F.lit(blocks)).cast("int")
     dealt = docs.withColumn("_lm_block", block)
 
-    def local_counts(grams: list, flags: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        known = flags[owner]
-        return np.concatenate([np.bincount(at[known & (at >= 0)], minlength=len(keys)) for keys, _, at in grams])
-
-    def state_counts(table: pa.Table) -> pa.Table:
-        symbol, place, owner = symbols(table.column(text))
-        grams = levels(symbol, place, order)
-        keys, by = listed(grams)
-        out = _slices(table.column("_lm_block")[0].as_py(), 0, _cuts(keys, fan, 1), keys, local_counts(grams, _train_flags(table), owner)[by])
-        del symbol, place, owner, grams, keys, by
+    # (all columns each time, so that all rounds and the walk read one and the same shuffle)
+    def first_round(table: pa.Table) -> pa.Table:
+        out = Block(table, text, min(_FIRST, order)).send(table.column("_lm_block")[0].as_py(), 0, fan)
         tokens.release()
         return out
 
-    # (all columns, so that this and the walk below read one and the same shuffle)
-    stated = dealt.groupBy("_lm_block").applyInArrow(state_counts, _COUNTS)
-    answers = totals(stated, blocks, fan).withColumnRenamed("node", "_lm_block")
+    def later_round(turn: int):
+        def send(table: pa.Table, answer: pa.Table) -> pa.Table:
+            block = Block(table, text, turn + _FIRST)
+            block.receive(answer, turn, fan)
+            out = block.send(table.column("_lm_block")[0].as_py(), turn, fan)
+            del block
+            tokens.release()
+            return out
+
+        return send
+
+    grouped = dealt.groupBy("_lm_block")
+    turns = max(1, order - _FIRST + 1)
+    answers = totals(grouped.applyInArrow(first_round, _COUNTS), blocks, fan).withColumn("round", F.lit(0))
+    for turn in range(1, turns):
+        sent = grouped.cogroup(answers.groupBy("node")).applyInArrow(later_round(turn), _COUNTS)
+        answers = answers.unionByName(totals(sent, blocks, fan).withColumn("round", F.lit(turn)))
     schema = T.StructType([*kept, *ADDED.fields])
 
     def walk(table: pa.Table, answer: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return schema_table.slice(0, 0)
         n = table.num_rows
-        symbol, place, owner = symbols(table.column(text))
-        grams = levels(symbol, place, order)
-        keys, by = listed(grams)
-        cuts = _cuts(keys, fan, 1)
-        counts = np.zeros(len(keys), np.int64)
-        for i, x in zip(answer.column("slice").to_pylist(), answer.column("totals")):
-            counts[by[cuts[i] : cuts[i + 1]]] = _unpack(x.as_py(), np.int64)
-        counts = np.split(counts, np.cumsum([len(g[0]) for g in grams])[:-1])
+        block = Block(table, text, order)
+        block.receive(answer, turns, fan)
+        counts = np.split(block.total, block.offset[1:-1])
         seen = sum(answer.column("tokens").to_pylist())
-        automaton = Automaton(grams, counts, mu, np.float64(seen + sum(answer.column("vocabulary").to_pylist()) + 1))
-        word = grams[0][2].astype(np.int64)
-        score = automaton.traverse(word, place, owner, n, lane)
-        begins = np.flatnonzero(place == 0)
-        real = place > 0
-        base = np.add.reduceat(np.where(real, automaton.empty_weight[word], 0.0).astype(np.longdouble), begins)
-        found = (np.bincount(owner, minlength=n) - 1, np.bincount(owner[real & (counts[0][word] > 0)], minlength=n), np.full(n, seen))
+        automaton = Automaton(block.grams, counts, mu, np.float64(seen + sum(answer.column("vocabulary").to_pylist()) + 1))
+        word = block.grams[0][2].astype(np.int64)
+        score = automaton.traverse(word, block.place, block.owner, n, lane)
+        real = block.place > 0
+        base = np.add.reduceat(np.where(real, automaton.empty_weight[word], 0.0).astype(np.longdouble), np.flatnonzero(~real))
+        found = (np.bincount(block.owner, minlength=n) - 1, np.bincount(block.owner[real & (counts[0][word] > 0)], minlength=n), np.full(n, seen))
         found = [*found, *[np.round(x.astype(float), 8) for x in (base, score)]]
         out = pa.table(dict(zip(schema.fieldNames(), [*[table.column(f.name) for f in kept], *map(pa.array, found)])))
-        del symbol, place, owner, grams, keys, by, counts, automaton, word
+        del block, counts, automaton, word, real
         tokens.release()
         return out
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    schema_table = to_arrow_schema(schema).empty_table()
-    return dealt.groupBy("_lm_block").cogroup(answers.groupBy("_lm_block")).applyInArrow(walk, schema)
+    return grouped.cogroup(answers.groupBy("node")).applyInArrow(walk, schema)
 
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:
