@@ -43,6 +43,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,7 +91,7 @@ def symbols(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def levels(symbol: np.ndarray, place: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For n = 1 to order: the distinct n-grams in order of hash, where each first ends, and which ends at each symbol (or -1).
+    """For n = 1 to order: the distinct n-grams in order of hash, a place where each ends, and which ends at each symbol (or -1).
 
     Hashes of words are odd, all others even, the start's included.
     """
@@ -103,10 +104,13 @@ def levels(symbol: np.ndarray, place: np.ndarray, order: int) -> list[tuple[np.n
         hashed = key[ends] & ~_ODD
         if n == 1:
             hashed |= (place[ends] > 0).astype(np.uint64)
-        distinct, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+        by = np.argsort(hashed)
+        hashed = hashed[by]
+        fresh = np.ones(len(by), dtype=bool)
+        fresh[1:] = hashed[1:] != hashed[:-1]
         at = np.full(len(symbol), -1, np.int32)
-        at[ends] = which
-        out.append((distinct, ends[first], at))
+        at[ends[by]] = np.cumsum(fresh, dtype=np.int32) - 1
+        out.append((hashed[fresh], ends[by[fresh]], at))
     return out
 
 
@@ -147,17 +151,40 @@ class Block:
             cuts = _cuts(keys, fan, 1)
             part = answer.filter(pa.array(turn_of == turn))
             for i, x in zip(part.column("slice").to_pylist(), part.column("totals")):
-                self.total[picked[cuts[i] : cuts[i + 1]]] = _unpack(x.as_py(), np.int64)
+                self.total[picked[cuts[i] : cuts[i + 1]]] = _unpack(x.as_py())
 
 
-def _pack(values: np.ndarray) -> bytes:
-    """The values' bytes, first all lowest ones, then the next: sorted or small numbers then compress in the shuffle."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+_deflate, _inflate = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+#: Lowest bytes of the gaps between hashes that are sent as they are: they are noise, and the others mostly zeros.
+_NOISE = 5
 
 
-def _unpack(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+def _planes(values: np.ndarray) -> np.ndarray:
+    """All lowest bytes, then all the next: small numbers then compress well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+
+
+def _values(planes: np.ndarray, kind) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(kind).ravel()
+
+
+def _pack(counts: np.ndarray) -> bytes:
+    return _deflate(_planes(counts).tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    return _values(np.frombuffer(_inflate(data), np.uint8), np.int64)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted hashes: how many, the low bytes of their gaps, and the high bytes compressed."""
+    planes = _planes(np.diff(keys, prepend=np.uint64(0)))
+    return len(keys).to_bytes(8, "little") + planes[:_NOISE].tobytes() + _deflate(planes[_NOISE:].tobytes())
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    high = 8 + _NOISE * int.from_bytes(data[:8], "little")
+    return np.cumsum(_values(np.frombuffer(data[8:high] + _inflate(data[high:]), np.uint8), np.uint64), dtype=np.uint64)
 
 
 def _cuts(keys: np.ndarray, fan: int, depth: int, first: int = 0) -> np.ndarray:
@@ -172,7 +199,7 @@ def _slices(node: int, first: int, cuts: np.ndarray, keys: np.ndarray, counts: n
         {
             "node": pa.array(np.full(len(parts), node), pa.int32()),
             "slice": pa.array(np.arange(first, first + len(parts)), pa.int64()),
-            "keys": pa.array([_pack(keys[x]) for x in parts], pa.binary()),
+            "keys": pa.array([_pack_keys(keys[x]) for x in parts], pa.binary()),
             "counts": pa.array([_pack(counts[x]) for x in parts], pa.binary()),
         }
     )
@@ -180,10 +207,10 @@ def _slices(node: int, first: int, cuts: np.ndarray, keys: np.ndarray, counts: n
 
 def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys of all rows, their counts added up, which of them each key of a row is, and where rows end."""
-    keys = [_unpack(x.as_py(), np.uint64) for x in table.column("keys")]
+    keys = [_unpack_keys(x.as_py()) for x in table.column("keys")]
     distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, which, np.concatenate([_unpack(x.as_py(), np.int64) for x in table.column("counts")]))
+    np.add.at(total, which, np.concatenate([_unpack(x.as_py()) for x in table.column("counts")]))
     return distinct, total, which, np.cumsum([len(k) for k in keys])[:-1]
 
 
@@ -222,7 +249,7 @@ def totals(rows: DataFrame, nodes: int, fan: int, depth: int = 1) -> DataFrame:
         first = table.column("slice")[0].as_py() * fan
         cuts = _cuts(distinct, fan, depth + 1, first)
         for i, x in zip(answers.column("slice").to_pylist(), answers.column("totals")):
-            total[cuts[i - first] : cuts[i - first + 1]] = _unpack(x.as_py(), np.int64)
+            total[cuts[i - first] : cuts[i - first + 1]] = _unpack(x.as_py())
         return _answer(table, total[which], ends, sum(answers.column("vocabulary").to_pylist()), sum(answers.column("tokens").to_pylist()))
 
     merged = rows.groupBy("parent", "slice").applyInArrow(merge, _COUNTS)
