@@ -13,7 +13,8 @@ until the state has an arc for the word, and adds up the weights of all arcs
 taken.  An end symbol is a word like the others, and the last.
 
 No task holds the whole automaton.  Documents are dealt to blocks of about
-`BLOCK_BYTES` of text.  A block lists its distinct words and pairs, as sorted
+`BLOCK_BYTES` of text, each text compressed on its own for the shuffle that all
+rounds read.  A block lists its distinct words and pairs, as sorted
 63-bit hashes with its training counts, and sends a slice of the list to each of
 `FAN` ranges of hashes.  There the counts of up to `FAN` blocks are added up; where
 there are more blocks, the sums are cut in `FAN` finer slices each and meet the
@@ -118,7 +119,7 @@ class Block:
     """The n-grams of a block's texts, with the counts of its training texts and, once they have come, the totals."""
 
     def __init__(self, table: pa.Table, text: str, order: int):
-        self.symbol, self.place, self.owner = symbols(table.column(text))
+        self.symbol, self.place, self.owner = symbols(_texts(table.column(text)))
         self.grams = levels(self.symbol, self.place, order)
         self.offset = np.concatenate([[0], np.cumsum([len(g[0]) for g in self.grams])])
         train = table.column("_lm_train").combine_chunks().fill_null(False)
@@ -159,6 +160,25 @@ _deflate, _inflate = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdD
 _NOISE = 5
 
 
+def _packed(text: str):
+    """Batches with the column `text` compressed, text by text."""
+
+    def run(batches):
+        for batch in batches:
+            i = batch.schema.get_field_index(text)
+            yield batch.set_column(i, text, _pack_texts(batch.column(i)))
+
+    return run
+
+
+def _pack_texts(column: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else _deflate(x.encode()) for x in column.to_pylist()], pa.binary())
+
+
+def _texts(packed: pa.ChunkedArray) -> pa.Array:
+    return pa.array((x and _inflate(x) for x in packed.to_pylist()), pa.large_binary())
+
+
 def _planes(values: np.ndarray) -> np.ndarray:
     """All lowest bytes, then all the next: small numbers then compress well."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
@@ -334,8 +354,8 @@ class Automaton:
         return out
 
 
-def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDER, mu: float = MU, block_bytes: int = BLOCK_BYTES, fan: int = FAN, lane: int = LANE) -> DataFrame:
-    """docs with the columns of ADDED; `train` is a boolean Column that marks the texts to learn from."""
+def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDER, mu: float = MU, block_bytes: int = BLOCK_BYTES, fan: int = FAN, lane: int = LANE, keep_text: bool = True) -> DataFrame:
+    """docs (without their text if not `keep_text`) with the columns of ADDED; `train` is a boolean Column that marks the texts to learn from."""
     names = {*ADDED.fieldNames(), *_OWN}
     docs = docs.select([c for c in docs.columns if c not in names])
     kept = docs.schema.fields
@@ -344,6 +364,9 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDE
     blocks = max(1, math.ceil(size / block_bytes))
     block = F.pmod(F.xxhash64(*[f.name for f in kept if f.name != text and isinstance(f.dataType, T.AtomicType)], F.octet_length(text)), F.lit(blocks)).cast("int")
     dealt = docs.withColumn("_lm_block", block)
+    packed = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == text else f for f in dealt.schema.fields])
+    dealt = dealt.mapInArrow(_packed(text), packed)
+    kept = [f for f in kept if keep_text or f.name != text]
 
     # (all columns each time, so that all rounds and the walk read one and the same shuffle)
     def first_round(table: pa.Table) -> pa.Table:
@@ -383,7 +406,8 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDE
         base = np.add.reduceat(np.where(real, automaton.empty_weight[word], 0.0).astype(np.longdouble), np.flatnonzero(~real))
         found = (np.bincount(block.owner, minlength=n) - 1, np.bincount(block.owner[real & (counts[0][word] > 0)], minlength=n), np.full(n, seen))
         found = [*found, *[np.round(x.astype(float), 8) for x in (base, score)]]
-        out = pa.table(dict(zip(schema.fieldNames(), [*[table.column(f.name) for f in kept], *map(pa.array, found)])))
+        passed = [_texts(table.column(text)).cast(pa.string()) if f.name == text else table.column(f.name) for f in kept]
+        out = pa.table(dict(zip(schema.fieldNames(), [*passed, *map(pa.array, found)])))
         del block, counts, automaton, word, real
         tokens.release()
         return out
@@ -393,7 +417,7 @@ def score_texts(docs: DataFrame, train, *, text: str = "text", order: int = ORDE
 
 def op2_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", (crc_bucket(F.col("doc_id"), 7) == 2).alias("held_out"))
-    scored = score_texts(docs, ~F.col("held_out"))
+    scored = score_texts(docs, ~F.col("held_out"), keep_text=False)
     return scored.select("doc_id", "held_out", *ADDED.fieldNames())
 
 
