@@ -1,18 +1,27 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewrack.llm import fingerprints as P
 
 
+def _hashes(shown):
+    return {x.split("@")[0] for x in shown.split()}
+
+
+def _jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     docs = sorted(((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()), reverse=True)
     got = {r.doc_id: r for r in P.op7_fingerprints(spark, sf).collect()}
     assert len(got) == len(docs)
     near_edited = near_next = 0
-    for (d, text), (_, follow) in zip(docs, docs[1:] + docs[:1]):
+    for (d, text), (after, follow) in zip(docs, docs[1:] + docs[:1]):
         r, half = got[d], len(text) // 2
         edited = text[: len(text) - half] + follow[:half]
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
@@ -24,7 +33,8 @@ def test_query_against_brute_force(spark):
         for a, b in zip([-1, *places], [*places, grams]):
             assert b - a <= P.WINDOW or grams <= P.WINDOW
         near_edited, near_next = near_edited + r.near_edited, near_next + r.near_next
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        own, changed, following = (_hashes(f) for f in (r.fingerprint, r.edited_fingerprint, got[after].fingerprint))
+        assert (r.near_edited, r.near_next) == pytest.approx((_jaccard(own, changed), _jaccard(own, following)))
     assert near_edited > 4 * near_next
 
 
@@ -63,3 +73,12 @@ def test_next_in_many_buckets(spark, monkeypatch):
     one = spark.createDataFrame([(7, "lone")], "doc_id long, text string")
     assert P.with_next(one, ["text"]).first().next.text == "lone"
     assert P.with_next(one.limit(0), ["text"]).count() == 0
+
+
+def test_clashing_names_pass_through(spark):
+    own = ["_bucket", "_cell", "_more", "_follow", "_head", "_head_key", "_next_text", "_First"]
+    docs = spark.createDataFrame([(i, f"t{i}", -7, *range(len(own))) for i in range(5)], ["doc_id", "text", "next", *own])
+    rows = P.with_next(docs, ["text"]).collect()
+    assert len(rows) == 5
+    for r in rows:
+        assert [r[c] for c in own] == list(range(len(own))) and r.next.text == f"t{(r.doc_id - 1) % 5}"

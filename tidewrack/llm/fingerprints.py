@@ -13,7 +13,9 @@ holds whole hashes.
 Defined cases: a null text is empty and has an empty fingerprint; two empty
 fingerprints are alike to degree 1; null ids come last in descending order, and
 equal ids are ordered by a hash of the text; a lone document is its own next;
-an empty table gives an empty result; other columns pass through `fingerprint`.
+an empty table gives an empty result; repeated rows are rows of their own; a very
+long text is hashed whole in one task.  Other columns pass through, but
+`fingerprint` and `next` of the input are replaced, each by the function that adds it.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold_ascii, let
+from .common import fold_ascii, fresh_name, let
 
 K, WINDOW = 5, 16
 _PLACES = 30
@@ -81,31 +83,34 @@ def with_next(docs: DataFrame, columns: list[str], key: str = "doc_id", text: st
     buckets = max(1, min(MOST_BUCKETS, stats.n // ROWS_PER_BUCKET))
     parts = -(-buckets // max(1, len(bounds) - 1))
     limits = F.array(*[F.lit(int(b)).cast("long") for b in bounds])
+    taken = derive(docs).columns
+    at, in_cell, more, first_of, head, head_key = (fresh_name(taken, c) for c in ("_bucket", "_cell", "_more", "_follow", "_head", "_head_key"))
+    next_of = {c: fresh_name(taken, f"_next_{c}") for c in columns}
     cell = F.size(F.filter(limits, lambda b: b <= F.col(key)))
-    low, high = F.get(limits, F.col("_cell") - 1), F.get(limits, F.col("_cell"))
+    low, high = F.get(limits, F.col(in_cell) - 1), F.get(limits, F.col(in_cell))
     inside = F.when(high > low, F.least(F.lit(parts - 1), F.floor((F.col(key) - low) / (high - low) * parts)))
-    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.col("_cell") * parts + F.coalesce(inside, F.lit(0))).cast("long")
-    placed = lambda d: d.withColumn("_cell", cell).withColumn("_bucket", bucket).drop("_cell")
+    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.col(in_cell) * parts + F.coalesce(inside, F.lit(0))).cast("long")
+    placed = lambda d: d.withColumn(in_cell, cell).withColumn(at, bucket).drop(in_cell)
 
     order = [F.col(key).desc_nulls_last(), F.xxhash64(text)]
-    firsts = placed(docs.select(key)).groupBy("_bucket").agg(F.max(key).alias("_first"))
-    ring = Window.orderBy(F.col("_bucket").desc())  # a row per bucket
+    firsts = placed(docs.select(key)).groupBy(at).agg(F.max(key).alias("_first"))
+    ring = Window.orderBy(F.col(at).desc())  # a row per bucket
     around = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # (a null first key is that of the null ids' bucket, so "no following bucket" is told by the bucket)
-    follow = F.when(F.lead("_bucket").over(ring).isNull(), F.first("_first").over(around)).otherwise(F.lead("_first").over(ring))
-    firsts = firsts.select("_bucket", follow.alias("_follow"))
+    follow = F.when(F.lead(at).over(ring).isNull(), F.first("_first").over(around)).otherwise(F.lead("_first").over(ring))
+    firsts = firsts.select(at, follow.alias(first_of))
     # the first row of each bucket: ids and texts of at most MOST_BUCKETS documents
-    heads = docs.join(F.broadcast(firsts.select("_follow").distinct()), docs[key].eqNullSafe(F.col("_follow")), "left_semi")
-    heads = derive(heads).groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias("_head")).select(F.col(key).alias("_head_key"), "_head")
-    heads = firsts.join(heads, F.col("_follow").eqNullSafe(F.col("_head_key"))).select("_bucket", "_head")
+    heads = docs.join(F.broadcast(firsts.select(first_of).distinct()), docs[key].eqNullSafe(F.col(first_of)), "left_semi")
+    heads = derive(heads).groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(text)).alias(head)).select(F.col(key).alias(head_key), head)
+    heads = firsts.join(heads, F.col(first_of).eqNullSafe(F.col(head_key))).select(at, head)
 
     # single columns, since a struct of them would be shuffled besides them
-    follow = Window.partitionBy("_bucket").orderBy(*order)
-    rows = placed(derive(docs)).select("*", *[F.lead(c).over(follow).alias(f"_next_{c}") for c in columns], F.lead(F.lit(1)).over(follow).alias("_more"))
-    rows = rows.join(heads, "_bucket")
-    own = F.struct(*[F.col(f"_next_{c}").alias(c) for c in columns])
-    rows = rows.withColumn("next", F.when(F.col("_more").isNotNull(), own).otherwise(F.col("_head")))
-    return rows.drop("_bucket", "_head", "_more", *[f"_next_{c}" for c in columns])
+    follow = Window.partitionBy(at).orderBy(*order)
+    rows = placed(derive(docs)).select("*", *[F.lead(c).over(follow).alias(next_of[c]) for c in columns], F.lead(F.lit(1)).over(follow).alias(more))
+    rows = rows.join(heads, at)
+    own = F.struct(*[F.col(next_of[c]).alias(c) for c in columns])
+    rows = rows.withColumn("next", F.when(F.col(more).isNotNull(), own).otherwise(F.col(head)))
+    return rows.drop(at, head, more, *next_of.values())
 
 
 def op7_fingerprints(spark, sf_dir: str) -> DataFrame:
