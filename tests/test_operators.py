@@ -1,9 +1,11 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewrack.operators import aggregates, changes, joins, scripts, windows
+from tidewrack.functions.vectors import cosine
+from tidewrack.operators import aggregates, changes, joins, nearest, scripts, windows
 from tidewrack.streaming import events
 
 
@@ -44,6 +46,31 @@ def test_outer_joins_give_unmatched_rows_once(spark):
         assert rows(joins.range_join(points, spans, "p", "lo", "hi", 3.0, how)) == rows(want)
 
 
+def test_nearest_is_the_join_of_all_pairs(spark, monkeypatch):
+    from tidewrack.plans.registry import QUERIES
+
+    for name, size in (("ROWS", 40), ("QUERIES", 12), ("STRIP", 32), ("LANE", 4), ("PAIRS", 50)):
+        monkeypatch.setattr(nearest, name, size)
+    r = random.Random(7)
+    some = lambda n: [r.uniform(-1, 1) for _ in range(n)]
+    common = some(5)
+    data = [(i, some(5)) for i in range(90)] + [(100 + i, common) for i in range(40)] + [(200 + i, [x * (i + 1) for x in common]) for i in range(20)]
+    data += [(300, None), (301, None), (310, [0.0] * 5), (320, [1.0, None, 2.0, 3.0, 4.0]), (330, some(3)), (331, some(3)), (340, []), (350, [float("nan")] + some(4)), (40, some(5)), (None, some(5))]
+    df = spark.createDataFrame(data, "i long, v array<float>")
+    for some_rows in (df, df.where("i >= 300"), df.where("i = 40 OR i IS NULL"), df.limit(0)):
+        queries = some_rows.where("i % 10 = 0")
+        pairs = some_rows.join(queries.select(F.col("i").alias("q"), F.col("v").alias("w")), F.col("i") != F.col("q")).withColumn("near", F.round(cosine(F.col("v"), F.col("w")), 9))
+        columns = ["q", "i", F.col("near").cast("string"), "rank"]  # NaN equals itself as a string
+        want = rows(joins.top_per_key(pairs, ["q"], [F.desc("near"), F.col("i")], 5).select(columns))
+        assert rows(nearest.nearest(some_rows, queries, "i", "v", 5).select(columns)) == want
+        if want:  # strips and lanes, of which workers know the module's sizes only
+            some_pairs = nearest._best(*(x.selectExpr("i AS key", "v AS vector").where("i IS NOT NULL").toArrow() for x in (queries, some_rows)), 5, 2e-9)
+            here = spark.createDataFrame([tuple(x.values()) for x in some_pairs.to_pylist()], "q long, i long, near double").withColumn("near", F.round("near", 9))
+            assert rows(joins.top_per_key(here, ["q"], [F.desc("near"), F.col("i")], 5).select(columns)) == want
+    plan = QUERIES["vector_nearest"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_scripts(spark):
     text = "SELECT 1 AS a; SELECT 'x;--y' AS b -- no; end\n; ; SELECT nope; /* ; */ SELECT 2 - 1 AS c;"
     assert scripts.statements(text) == ["SELECT 1 AS a", "SELECT 'x;--y' AS b", "SELECT nope", "SELECT 2 - 1 AS c"]

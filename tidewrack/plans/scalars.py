@@ -6,8 +6,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf, udtf
 
-from ..functions.vectors import cosine, norm
-from ..operators.joins import top_per_key
+from ..functions.vectors import norm
+from ..operators.nearest import nearest
 from .query import query, same_sql
 
 same_sql("scan_two_columns", "SELECT l_orderkey, l_quantity FROM {lineitem}")
@@ -85,9 +85,7 @@ SELECT q, vec_id, rank FROM (SELECT a.vec_id AS q, b.vec_id AS vec_id, row_numbe
 FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0) WHERE rank <= 5""")
 def vector_nearest(t):
     """The five nearest by cosine of the query set (ids divisible by 100) among all vectors: each block of vectors meets all queries."""
-    queries = t.embeddings.where("vec_id % 100 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e"))
-    pairs = t.embeddings.join(queries, F.col("vec_id") != F.col("q")).select("q", "vec_id", F.round(cosine(F.col("embedding"), F.col("e")), 9).alias("near"))
-    return top_per_key(pairs, ["q"], [F.desc("near"), F.col("vec_id")], 5).select("q", "vec_id", "rank")
+    return nearest(t.embeddings, t.embeddings.where("vec_id % 100 = 0"), "vec_id", "embedding", 5).select("q", "vec_id", "rank")
 
 
 @query("SELECT l_orderkey, l_partkey, l_linenumber, floor(l_extendedprice * (1 - l_discount) * (1 + l_tax) + 0.5)::BIGINT AS charge FROM lineitem")
