@@ -143,3 +143,16 @@ def test_drained_streams_are_files_beside_their_state(spark, tmp_path):
         assert out.inputFiles() and all(f"{tmp_path}/{name}/" in f for f in out.inputFiles())
         assert (tmp_path / f"{name}-state" / "commits" / "2").exists()
         assert rows(out) == sorted(want, key=str)
+
+
+def test_theta_exists_looks_at_the_largest_only(spark, tmp_path):
+    from tidewrack.plans.registry import QUERIES
+
+    customer = [(n, b) for n in (1, 2, None) for b in (None, -10.0, 6000.0, 6000.0)] + [(3, None), (4, float("nan"))]
+    spark.createDataFrame(customer, "c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    supplier = [(1, 1, 999.0), (1, 1, 999.0), (2, 2, 1000.0), (3, 3, 0.0), (4, None, 0.0), (5, 2, None), (6, 4, 9e9), (7, 9, 0.0)]
+    spark.createDataFrame(supplier, "s_suppkey long, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    df = QUERIES["subquery_theta_exists"](spark, str(tmp_path))
+    assert rows(df) == [(1,), (1,), (6,)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "max(c_acctbal" in plan

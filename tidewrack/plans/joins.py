@@ -75,7 +75,15 @@ same_sql(
 same_sql("subquery_scalar", "SELECT s_suppkey FROM {supplier} WHERE s_acctbal > (SELECT avg(s_acctbal) FROM {supplier})")
 same_sql("subquery_correlated", "SELECT o_orderkey FROM {orders} o WHERE o_totalprice > (SELECT 1.5 * avg(o_totalprice) FROM {orders} i WHERE i.o_custkey = o.o_custkey)")
 same_sql("subquery_in", "SELECT o_orderkey FROM {orders} WHERE o_custkey IN (SELECT c_custkey FROM {customer} WHERE c_acctbal < 0)")
-same_sql("subquery_theta_exists", "SELECT s_suppkey FROM {supplier} s WHERE EXISTS (SELECT 1 FROM {customer} WHERE c_nationkey = s_nationkey AND c_acctbal > s_acctbal + 5000)")
+
+
+@query("SELECT s_suppkey FROM supplier s WHERE EXISTS (SELECT 1 FROM customer WHERE c_nationkey = s_nationkey AND c_acctbal > s_acctbal + 5000)")
+def subquery_theta_exists(t):
+    """Some customer of the nation has more exactly if the one with the most has: a row per nation, where a join would compare all pairs."""
+    most = t.customer.groupBy("c_nationkey").agg(F.max("c_acctbal").alias("most"))
+    return t.supplier.join(most, (F.col("c_nationkey") == F.col("s_nationkey")) & (F.col("most") > F.col("s_acctbal") + 5000)).select("s_suppkey")
+
+
 same_sql(
     "cte_reused",
     "WITH q AS (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY o_custkey) SELECT a.o_custkey FROM q a WHERE a.n > (SELECT avg(n) FROM q)",
