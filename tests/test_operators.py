@@ -156,3 +156,17 @@ def test_theta_exists_looks_at_the_largest_only(spark, tmp_path):
     assert rows(df) == [(1,), (1,), (6,)]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" not in plan and "max(c_acctbal" in plan
+
+
+def test_range_join_cuts_wide_stretches(spark):
+    """Cells follow the intervals' length, so that few pairs which do not match meet; no side is sent whole."""
+    points = spark.range(4000).select(F.col("id").alias("i"), (F.col("id") * 0.7).alias("p"))
+    spans = spark.range(3000).select(F.col("id").alias("s"), (F.col("id") * 1.1).alias("lo"), (F.col("id") * 1.1 + 25).alias("hi"))
+    for how in ("inner", "left", "right", "full"):
+        got = joins.range_join(points, spans, "p", "lo", "hi", 100.0, how)
+        assert rows(got) == rows(points.join(spans, F.expr("p BETWEEN lo AND hi"), how))
+        plan = got._jdf.queryExecution().toString()
+        assert "SortMergeJoin [_cell" in plan and "BroadcastHashJoin [_cell" not in plan and "/ 12.5)" in plan
+    for span in (spans.selectExpr("s", "lo", "lo AS hi"), spans.selectExpr("s", "lo", "lo + 300 AS hi"), spans.selectExpr("s", "lo", "double('NaN') AS hi").where("s < 0")):
+        got = joins.range_join(points, span, "p", "lo", "hi", 100.0, "full")
+        assert rows(got) == rows(points.join(span, F.expr("p BETWEEN lo AND hi"), "full"))

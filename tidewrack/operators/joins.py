@@ -6,28 +6,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Cells that a stretch of a range join is cut into, at most.
+PIECES = 16
+
+
 def range_join(left: DataFrame, right: DataFrame, point: str, low: str, high: str, width: float, how: str = "inner") -> DataFrame:
-    """Rows with low <= point <= high, as an equi-join on stretches of `width`.
-
-    A row of `right` is repeated for each stretch that its interval touches, so
-    choose a width near the usual interval: the join then shuffles about one or
-    two rows for each, where a theta join would compare all pairs.  Null points
-    and intervals match nothing.  `how` is inner, left, right or full; unmatched
-    rows of `right` are found by their intervals, in a second pass.  Column names
-    of the two sides must differ.
+    """Rows with low <= point <= high, as an equi-join on cells of `width`, or finer.
+
+    A row of `right` is repeated for each cell that its interval touches, where a
+    theta join would compare all pairs.  Cells far wider than the intervals would
+    bring together many pairs that do not match, so a first pass over `right`
+    takes their mean length, and cells are cut to about half of that (of `width`
+    at most PIECES cells).  The join is by sorting, since a hash table of all
+    repeated rows would have to fit each task.  Null points and intervals match
+    nothing.  `how` is inner, left, right or full; unmatched rows of `right` are
+    found by their intervals, in a second pass that stops at an interval's first
+    point.  Column names of the two sides must differ.
     """
-    if how in ("right", "full"):
-        met = range_join(left.select(point), right.select(low, high).distinct(), point, low, high, width).select(F.col(low).alias("_low"), F.col(high).alias("_high")).distinct()
-        lone = right.join(met, right[low].eqNullSafe(F.col("_low")) & right[high].eqNullSafe(F.col("_high")), "left_anti")
-        matched = range_join(left, right, point, low, high, width, "inner" if how == "right" else "left")
-        return matched.unionByName(lone, allowMissingColumns=True)
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"range_join does not know {how!r}")
-    cell = lambda c: F.floor(F.col(c).cast("double") / width)
-    left = left.withColumn("_cell", cell(point))
-    right = right.withColumn("_cell", F.explode(F.when(F.col(low) <= F.col(high), F.sequence(cell(low), cell(high)))))
-    met = (left["_cell"] == right["_cell"]) & (left[point] >= right[low]) & (left[point] <= right[high])
-    return left.join(right, met, how).drop("_cell")
+    usual = right.where(F.col(low) <= F.col(high)).agg(F.avg(F.col(high).cast("double") - F.col(low).cast("double"))).first()[0]
+    pieces = 1 if usual is None or usual != usual else PIECES if PIECES * usual <= 2 * width else max(1, round(2 * width / usual))
+    cell = lambda c: F.floor(F.col(c).cast("double") / (width / pieces))
+    spread = lambda spans: spans.withColumn("_cell", F.explode(F.when(F.col(low) <= F.col(high), F.sequence(cell(low), cell(high)))))
+
+    def join(points, spans, one, two, kind):
+        return one.join(two.hint("merge"), (points["_cell"] == spans["_cell"]) & (points[point] >= spans[low]) & (points[point] <= spans[high]), kind)
+
+    points, spans = left.withColumn("_cell", cell(point)), spread(right)
+    matched = join(points, spans, points, spans, "left" if how in ("left", "full") else "inner").drop("_cell")
+    if how in ("inner", "left"):
+        return matched
+    points, spans = points.select(point, "_cell").distinct(), spread(right.select(low, high).distinct())
+    met = join(points, spans, spans, points, "left_semi").select(F.col(low).alias("_low"), F.col(high).alias("_high")).distinct()
+    lone = right.join(met, right[low].eqNullSafe(F.col("_low")) & right[high].eqNullSafe(F.col("_high")), "left_anti")
+    return matched.unionByName(lone, allowMissingColumns=True)
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, columns: list[str]) -> DataFrame:
