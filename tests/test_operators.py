@@ -170,3 +170,13 @@ def test_range_join_cuts_wide_stretches(spark):
     for span in (spans.selectExpr("s", "lo", "lo AS hi"), spans.selectExpr("s", "lo", "lo + 300 AS hi"), spans.selectExpr("s", "lo", "double('NaN') AS hi").where("s < 0")):
         got = joins.range_join(points, span, "p", "lo", "hi", 100.0, "full")
         assert rows(got) == rows(points.join(span, F.expr("p BETWEEN lo AND hi"), "full"))
+
+
+def test_salted_join_sends_no_side_whole(spark):
+    large = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+    small = spark.range(5, 9).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    for how in ("inner", "left", "right", "full"):
+        got = joins.salted_join(large, small, "k", 4, how)
+        assert rows(got.select("id", "k", "v")) == rows(large.join(small, "k", how).select("id", "k", "v"))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

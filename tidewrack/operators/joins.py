@@ -70,17 +70,19 @@ def _struct_type(df: DataFrame, columns: list[str]):
 def salted_join(large: DataFrame, small: DataFrame, on: str, salts: int = 16, how: str = "inner") -> DataFrame:
     """Equi-join of a side with hot keys: its rows of a key go to `salts` tasks, and the other side is repeated to each.
 
-    `how` is inner, left, right or full; as rows of `small` are repeated, its
-    unmatched ones are added once, from the keys that `large` lacks.
+    The join is by sorting: Spark knows the size of `small` before its rows are
+    repeated, and might send a table of all repeated rows to each task.  `how` is
+    inner, left, right or full; as rows of `small` are repeated, its unmatched
+    ones are added once, from the keys that `large` lacks.
     """
     if how in ("right", "full"):
-        lone = small.join(large.select(on).distinct(), on, "left_anti")
+        lone = small.join(large.select(on).distinct().hint("merge"), on, "left_anti")
         return salted_join(large, small, on, salts, "inner" if how == "right" else "left").unionByName(lone, allowMissingColumns=True)
     if how not in ("inner", "left"):
         raise ValueError(f"salted_join does not know {how!r}")
     large = large.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, t in large.dtypes if not t.startswith("map")]), F.lit(salts)).cast("int"))
     small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return large.join(small, [on, "_salt"], how).drop("_salt")
+    return large.join(small.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
