@@ -157,3 +157,30 @@ def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(10, 40)] + [(100, 99), (101, 99), (5, 5)], "a long, b long")
     assert {(r.node, r.component) for r in components(edges).collect()} == {(i, 10) for i in range(10, 41)} | {(99, 99), (100, 99), (101, 99)}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_large_texts_with_a_common_passage_are_no_candidates(spark, monkeypatch):
+    """Sizes at the lower end of an interval, at 80 percent: their parts are many and small."""
+    seen = []
+    by_bits = J.candidates_by_bits
+    monkeypatch.setattr(J, "candidates_by_bits", lambda rows, percent: seen.append(by_bits(rows, percent)) or seen[-1])
+    r = random.Random(5)
+    end, _, _ = J.intervals(80)
+    size = int(end[np.searchsorted(end, 3000)]) + 10
+    word = lambda: f"w{r.getrandbits(40):x}"
+    passage = [word() for _ in range(40)]
+    texts = [[word() for _ in range(size + r.randrange(50))] + passage for _ in range(24)]
+    texts.append([*texts[0][:-400], *(word() for _ in range(400))])  # alike
+    texts.append([*texts[1][:-800], *(word() for _ in range(800))])  # not quite
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert got(spark, rows, k=5, percent=80) == brute(rows, 5, 80)
+    assert seen[0].count() <= 2
+
+
+def test_groups_of_the_same_nodes_meet_once(spark):
+    rows = [(10 * s, n, n // 2) for s in range(40) for n in ((1, 2, 5) if s % 2 else (1, 5))]
+    rows += [(7, 2, 1), (7, 3, 1)] + [(9, n, n) for n in (2, 3)]
+    given = spark.createDataFrame(rows, "sig long, node long, component long").selectExpr("*", "cast(0 as int) AS mark")
+    groups = J.distinct_groups(given).collect()
+    assert sorted((g.size, g.times) for g in groups) == [(2, 1), (2, 20), (3, 20)]
+    assert len({g.deal for g in groups if g.sig % 10 == 0}) == 1

@@ -14,8 +14,10 @@ Documents with equal sets are one node; all work is on nodes.
    shingles, so documents that share just a passage, a line or a few frequent
    shingles do not meet, however many they are, and no frequencies are needed.
 4. Nodes of different components that share a part are the candidates left, if
-   they share as many as they must: of over K parts at most as many differ as
-   shingles may, and for most sizes these are fewer than K.  They meet by bitmap in a signature tree, again only across components;
+   they share as many as they must: of the parts of either at most as many differ
+   as shingles may at the sizes of the two.  Groups of the same nodes meet once,
+   and groups with the same smallest node in one task, within bounds.  They meet
+   by bitmap in a signature tree, again only across components;
    groups too large for a task are met in pairs of chunks.  Pairs that may be
    similar are then compared by whole sets: first each component's likeliest pair,
    and after the components that this links have been joined, all pairs that are
@@ -33,7 +35,8 @@ most K = (r + r * 100 / percent) * (100 - percent) / (100 + percent) shingles.
 Empty parts are not emitted: a set with over K parts that are not empty has
 one that is as in the other set.  For the few sets with fewer, single shingles
 of a prefix in the order of hashes are emitted besides, under a mark of their
-own, which any two such sets share.  Sets so small that K is 0 have no partner.
+own, which any two such sets share; they count only for pairs of sets that need
+not share a part.  Sets so small that K is 0 have no partner.
 A signature's lowest bits tell its interval and that mark; a pair counts in the
 interval of its smaller set only.
 
@@ -68,6 +71,8 @@ BANDS = 3
 GROUP_NODES, SET_NODES = 2048, 4096
 #: Upper end of an interval of sizes by its lower end, at least.
 INTERVAL = 1.4
+#: Of K differences, a set is cut into K + K / SPARE_PARTS + 2 parts: at 80 percent, too, nearly all sets have over K that are not empty.
+SPARE_PARTS = 4
 _SEEDS = [np.uint64(x) for x in (0, 0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
@@ -92,8 +97,8 @@ def _set_hash(h: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def describe(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """key, n, s1, s2 (hash of the set), bands (hashes of pairs of minima) and bits of each document."""
+def describe(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
+    """key, n, s1, s2 (hash of the set), bands (hashes of pairs of minima), held (parts that are not empty, in its interval and in the one before) and bits of each document."""
 
     def run(batches):
         for part, h, owner, at in _sets(batches, text, k):
@@ -104,6 +109,9 @@ def describe(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
             for j in range(2 * BANDS if len(has) else 0):
                 least = np.minimum.reduceat(h if j == 0 else tokens.mix(h ^ _SEEDS[j]), first)
                 bands[has, j // 2] = tokens.mix(bands[has, j // 2] * tokens._BASE + least + np.uint64(j))
+            held = np.zeros((len(n), 2), np.int32)
+            for side, (docs_of, _, _, doc, _, first) in enumerate(_cut(h, at, percent)):
+                held[docs_of, side] = np.bincount(doc[first], minlength=len(docs_of))
             # bitmaps, side by side
             width = np.array([S.width_of(x) for x in n.tolist()], dtype=np.int64)
             place = np.concatenate([[0], np.cumsum(np.minimum(width, S.WINDOW))]).astype(np.int64)
@@ -112,17 +120,17 @@ def describe(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
             near = bit < S.WINDOW
             flags[place[owner[near]] + bit[near]] = True
             bits = np.packbits(flags, bitorder="little")
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel().view(np.int64)))
+            listed = [pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel())) for x in (bands.view(np.int64), held)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(key), pa.array(n), *(pa.array(_set_hash(h, at, i).view(np.int64)) for i in (0, 1)), listed,
+                    part.column(key), pa.array(n), *(pa.array(_set_hash(h, at, i).view(np.int64)) for i in (0, 1)), *listed,
                     pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((place // 8).astype(np.int32)), pa.py_buffer(bits)]),
                 ],
-                names=["key", "n", "s1", "s2", "bands", "bits"],
+                names=["key", "n", "s1", "s2", "bands", "held", "bits"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, bands array<long>, bits binary")
+    return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, s1 long, s2 long, bands array<long>, held array<int>, bits binary")
 
 
 #: A signature's bits for the number of its interval, and for the mark of single shingles.
@@ -141,34 +149,43 @@ def intervals(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return end, partner, (end + partner) * (100 - percent) // (100 + percent)
 
 
-def part_signatures(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of documents' parts, and each one's document; h is sorted within documents."""
+def _cut(h: np.ndarray, at: np.ndarray, percent: int):
+    """For each set's own interval, then the one before it: the documents with parts there, their intervals, and of their shingles the place in h, the document's number, the part, and where each part begins."""
     n = np.diff(at)
     end, partner, most = intervals(percent)
     own = np.searchsorted(end, n)
-    scrambled = tokens.mix(h ^ _SEEDS[3])
-    marked = lambda sig, which, loose: sig & ~np.uint64(255) | which.astype(np.uint64) | np.uint64(loose)
-    out, owners = [], []
     for which, before in ((own, n > 0), (own - 1, (own > 0) & (n <= partner[own - 1]))):
         docs = np.flatnonzero(before & (most[which] > 0))
-        if not len(docs):
-            continue
         size = n[docs]
         token = np.repeat(at[:-1][docs] - np.cumsum(size) + size, size) + np.arange(size.sum())
         doc = np.repeat(np.arange(len(docs)), size)
         differ = most[which[docs]]
-        parts = (differ + 2 + differ // 16).astype(np.uint64)
+        parts = (differ + 2 + differ // SPARE_PARTS).astype(np.uint64)
         part = ((h[token] >> np.uint64(32)) * parts[doc]) >> np.uint64(32)
-        first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])]))
-        mark = tokens.mix((which[docs].astype(np.uint64) + np.uint64(1)) * tokens._BASE)
-        out.append(marked(tokens.mix(np.add.reduceat(scrambled[token], first) + tokens.mix(mark[doc[first]] + part[first])), which[docs][doc[first]], 0))
+        first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])])[: len(part)])
+        yield docs, which[docs], token, doc, part, first
+
+
+def part_signatures(h: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of documents' parts, and each one's document; h is sorted within documents."""
+    n = np.diff(at)
+    _, _, most = intervals(percent)
+    scrambled = tokens.mix(h ^ _SEEDS[3])
+    marked = lambda sig, which, loose: sig & ~np.uint64(255) | which.astype(np.uint64) | np.uint64(loose)
+    out, owners = [], []
+    for docs, which, token, doc, part, first in _cut(h, at, percent):
+        if not len(docs):
+            continue
+        size, differ = n[docs], most[which]
+        mark = tokens.mix((which.astype(np.uint64) + np.uint64(1)) * tokens._BASE)
+        out.append(marked(tokens.mix(np.add.reduceat(scrambled[token], first) + tokens.mix(mark[doc[first]] + part[first])), which[doc[first]], 0))
         owners.append(docs[doc[first]])
         few = np.flatnonzero(np.bincount(doc[first], minlength=len(docs)) <= differ)
         if len(few):
             reach = size[few] + (-size[few] * percent // 100) + 1
             token = np.repeat(at[:-1][docs[few]] - np.cumsum(reach) + reach, reach) + np.arange(reach.sum())
             doc = np.repeat(few, reach)
-            out.append(marked(tokens.mix(scrambled[token] ^ tokens.mix(~mark[doc])), which[docs][doc], _LOOSE))
+            out.append(marked(tokens.mix(scrambled[token] ^ tokens.mix(~mark[doc])), which[doc], _LOOSE))
             owners.append(docs[doc])
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -319,12 +336,31 @@ def link_by_sets(rows: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long")
 
 
+def distinct_groups(rows: DataFrame) -> DataFrame:
+    """sig, size, times, deal of groups sig of rows sig, mark, node, component: of those that hold the same nodes one, and how many they are.
+
+    Groups of one component are left out.  Near copies share many parts, so
+    groups with the same smallest node get the same `deal`, as long as these
+    have GROUP_NODES rows or fewer, else one of several: a task that takes
+    a whole deal lists a pair once.
+    """
+    once, again = F.xxhash64("node"), F.xxhash64("node", F.lit(1))
+    members = F.count("*").alias("size"), F.min("node").alias("least"), F.bit_xor(once).alias("x"), F.bit_xor(again).alias("y")
+    groups = rows.groupBy("sig", "mark").agg(*members, F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    groups = stored(groups.groupBy("mark", "size", "least", "x", "y").agg(F.min("sig").alias("sig"), F.count("*").alias("times")), "groups")
+    deals = groups.groupBy("least").agg(F.ceil(F.sum("size") / GROUP_NODES).alias("deals"))
+    deal = F.xxhash64("least", F.pmod(F.xxhash64("sig"), F.col("deals")))
+    return groups.join(deals, "least").select("sig", "size", "times", deal.alias("deal"))
+
+
 def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of nodes of different components ca, cb that may be similar, and the parts that they share (single shingles count more), from groups g of node, n, component, bits, side, cross, mark.
+    """Pairs a, b of nodes of different components ca, cb that may be similar, and the parts (or single shingles) that they share, from groups g of deal, node, n, component, held, bits, side, cross, mark, times.
 
-    A group holds the nodes that share a part, whose signature ends in `mark`.
+    A group holds the nodes that share `times` parts, whose signatures end in
+    `mark`; a node has `held` parts in that interval.  Of the parts of either
+    node at most as many as there are different shingles are not shared.
     """
-    end, _, most = intervals(percent)
+    end, _, _ = intervals(percent)
 
     def run(batches):
         met: Counter = Counter()
@@ -338,20 +374,22 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
             comps = group.column("component").to_pylist()
             if len(set(comps)) < 2:
                 continue
-            nodes, sizes, bits = (group.column(c).to_pylist() for c in ("node", "n", "bits"))
+            nodes, sizes, held, bits = (group.column(c).to_pylist() for c in ("node", "n", "held", "bits"))
             sides, cross = group.column("side").to_pylist(), group.column("cross")[0].as_py()
             leaves = [S.leaf(i, n, int.from_bytes(x, "little"), S.width_of(n), c) for i, (n, x, c) in enumerate(zip(sizes, bits, comps))]
-            mark = group.column("mark")[0].as_py()
+            mark, times = (group.column(c)[0].as_py() for c in ("mark", "times"))
             interval, loose = mark & _INTERVAL_BITS, mark & _LOOSE
             own = np.searchsorted(end, sizes).tolist()
 
             def visit(i, j):
                 if min(own[i], own[j]) != interval:  # the pair meets in another, too
                     return
-                need = int(most[interval]) + 1 - (sizes[i] + sizes[j]) * (100 - percent) // (100 + percent)
+                need = max(held[i], held[j]) - (sizes[i] + sizes[j]) * (100 - percent) // (100 + percent)
+                if loose and need > 0:  # alike, they share a whole part
+                    return
                 if nodes[i] > nodes[j]:
                     i, j = j, i
-                met[nodes[i], nodes[j], comps[i], comps[j], need] += 1 << 32 if loose else 1
+                met[nodes[i], nodes[j], comps[i], comps[j], need] += times
 
             apart = lambda p, q: p.classes is None or p.classes != q.classes
             if cross:
@@ -366,7 +404,7 @@ def candidates_by_bits(rows: DataFrame, percent: int) -> DataFrame:
         if met:
             yield flush()
 
-    met = rows.repartition("g").sortWithinPartitions("g").mapInArrow(run, "a long, b long, ca long, cb long, need long, parts long")
+    met = rows.repartition("deal").sortWithinPartitions("deal", "g").mapInArrow(run, "a long, b long, ca long, cb long, need long, parts long")
     return met.groupBy("a", "b", "ca", "cb", "need").agg(F.sum("parts").alias("parts")).where("parts >= need").drop("need")
 
 
@@ -417,9 +455,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def membership(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """Each row's key, n, s1, s2; and of each different set s1, s2, n, its smallest key, and component (a number)."""
-    info = stored(describe(docs, key, text, k), "documents")
+    info = stored(describe(docs, key, text, k, percent), "documents")
     groups = info.where("n > 0").groupBy("s1", "s2", "n")
-    nodes = groups.agg(F.min("key").alias("key"), F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+    nodes = groups.agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("bands", "held", "bits")])
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     # step 2: nodes that share a pair of minima
@@ -432,20 +470,26 @@ def membership(docs: DataFrame, *, key: str = "doc_id", text: str = "text", k: i
     first = components(edges)
 
     # steps 3 and 4: parts that join components
-    labelled = nodes.join(first, "node", "left").select("node", "s1", "n", F.coalesce("component", "node").alias("component"))
-    parts = stored(shared_parts(docs, text, k, percent).join(labelled, "s1").select("sig", "node", "n", "component"), "parts")
-    joining = parts.groupBy("sig").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = parts.join(joining.where("low <> high").select("sig", "size"), "sig").dropDuplicates(["sig", "node"])
-    rows = stored(rows.withColumn("mark", F.col("sig").bitwiseAND(255).cast("int")).withColumn("interval", F.col("mark").bitwiseAND(_INTERVAL_BITS)), "joining")
-    enough = rows.groupBy("node", "interval", "n").agg(F.sum(F.when(F.col("mark") >= _LOOSE, 1 << 32).otherwise(1)).alias("parts"))
-    end, _, most = (F.get(F.array(*[F.lit(int(x)) for x in column]), F.col("interval")) for column in intervals(percent))
+    labelled = nodes.join(first, "node", "left").select("node", "s1", "n", F.coalesce("component", "node").alias("component"), "held")
+    parts = stored(shared_parts(docs, text, k, percent).join(labelled, "s1").select("sig", "node", "n", "component", "held"), "parts")
+    joining = parts.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+    rows = parts.join(joining.select("sig"), "sig").dropDuplicates(["sig", "node"])
+    rows = rows.withColumn("mark", F.col("sig").bitwiseAND(255).cast("int")).withColumn("interval", F.col("mark").bitwiseAND(_INTERVAL_BITS))
+    end, _, _ = (F.get(F.array(*[F.lit(int(x)) for x in column]), F.col("interval")) for column in intervals(percent))
     widest = F.when(F.col("n") <= end, F.floor(F.col("n") * 100 / percent)).otherwise(end)  # of its partners in the interval
-    need = most + 1 - F.floor((F.col("n") + widest) * (100 - percent) / (100 + percent))
-    rows = rows.join(enough.where(F.col("parts") >= need).select("node", "interval"), ["node", "interval"])
+    rows = rows.withColumn("held", F.when(F.col("n") <= end, F.col("held")[0]).otherwise(F.col("held")[1]))
+    rows = rows.withColumn("need", F.col("held") - F.floor((F.col("n") + widest) * (100 - percent) / (100 + percent)))
+    rows = stored(rows.where((F.col("mark") < _LOOSE) | (F.col("need") < 1)).drop("interval"), "joining")
+    enough = rows.groupBy("node", F.col("mark").bitwiseAND(_INTERVAL_BITS).alias("interval")).agg(F.count("*").alias("parts"), F.first("need").alias("need"))
+    enough = enough.where("parts >= need").select("node", "interval")
+    rows = stored(rows.withColumn("interval", F.col("mark").bitwiseAND(_INTERVAL_BITS)).join(enough, ["node", "interval"]).select("sig", "node", "n", "component", "held", "mark"), "enough")
+    rows = rows.join(distinct_groups(rows), "sig")
     chunks = F.ceil(F.col("size") / GROUP_NODES)
     rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), chunks - 1)))
+    cross = F.col("side") != F.col("other")
     group = F.xxhash64("sig", F.least("side", "other"), F.greatest("side", "other"))
-    rows = rows.select(group.alias("g"), "node", "n", "component", "mark", "side", (F.col("side") != F.col("other")).alias("cross"))
+    rows = rows.withColumn("g", group).withColumn("deal", F.when(chunks > 1, F.col("g")).otherwise(F.col("deal")))
+    rows = rows.select("deal", "g", "node", "n", "component", "held", "mark", "times", "side", cross.alias("cross"))
     rows = rows.join(nodes.select("node", "bits"), "node")
     pairs = stored(candidates_by_bits(rows, percent), "pairs")
 
